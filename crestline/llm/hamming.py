@@ -1,11 +1,14 @@
 """Codes that differ in few bits, by pigeonring filtering.
 
-A 64-bit code is cut into m segments in a ring, with budgets T_0..T_{m-1} that sum to tau - m + 1.
+A 64-bit code is cut into m equal segments in a ring, with budgets T_0..T_{m-1} that sum to tau - m + 1.
 If two codes differ in at most tau bits, some segment i exists from which every chain of l segments
 holds at most (T_i + ... + T_{i+l-1}) + l - 1 differences: the numbers b_j - T_j - 1 sum to a negative
 value around the ring, so by the cycle lemma all their partial sums from some i are negative. The first
 link of the chain (b_i <= T_i <= 2) is an equi-join on segments with at most one bit flipped on either
-side; longer links prune the candidates before the whole codes are compared. No pair is lost or repeated.
+side; longer links prune the candidates before the whole codes are compared. No pair is lost.
+
+Codes are rotated so that the chain starts at bit 0: the condition of the join stays a few instructions
+long, whichever the segment, and is compiled.
 """
 
 from __future__ import annotations
@@ -18,104 +21,86 @@ from pyspark.sql import functions as F
 BITS = 64
 
 
-def ring(tau: int, m: int | None = None) -> list[tuple[int, int, int]]:
-    """(shift, bits, budget) of each segment. m: at least (tau + 1) / 3, so that no budget exceeds 2."""
-    m = m or max(1, -(-(tau + 1) // 3))
-    m = min(m, tau + 1, 16)
-    total = tau - m + 1
-    if total > 2 * m:
-        raise ValueError("too few segments for this threshold")
-    out, shift = [], 0
-    for i in range(m):
-        bits = BITS // m + (i < BITS % m)
-        out.append((shift, bits, total // m + (i < total % m)))
-        shift += bits
-    return out
-
-
-def _segment(code: Column, shift: int, bits: int) -> Column:
-    if bits == BITS:
-        return code
-    return F.shiftrightunsigned(code, shift).bitwiseAND(F.lit((1 << bits) - 1))
-
-
-def _flipped(seg: int, value: Column, flips: Column) -> Column:
-    return F.transform(flips, lambda x: F.struct(F.lit(seg).cast("byte").alias("seg"), value.bitwiseXOR(x["mask"]).alias("value"), x["flip"].alias("flip")))
-
-
-def _entries(nodes: DataFrame, segs) -> DataFrame:
-    """(seg, value, flip, code, payload): every segment as it is (flip 0) and, if its budget allows, with bit flip - 1 flipped."""
-    per = []
-    for s, (shift, bits, t) in enumerate(segs):
-        flips = F.array(*(F.struct(F.lit(f).cast("byte").alias("flip"), F.lit((1 << (f - 1)) if f else 0).cast("long").alias("mask")) for f in range((bits if t else 0) + 1)))
-        per.append(_flipped(s, _segment(F.col("code"), shift, bits), flips))
-    return nodes.select("code", "payload", F.inline(F.concat(*per)))
-
-
-def _hot_values(nodes: DataFrame, segs, hot: int) -> DataFrame:
-    """(seg, value, blocks) of join keys that more than ``hot`` rows share; at most 2^bits keys a segment, whatever the rows."""
-    plain = [(s, b, 0) for s, b, _ in segs]
-    base = _entries(nodes, plain).groupBy("seg", "value").agg(F.count(F.lit(1)).alias("n"))
-    spread = [
-        F.when(F.col("seg") == s, F.array(*(F.col("value").bitwiseXOR(F.lit((1 << (f - 1)) if f else 0).cast("long")) for f in range((bits if t else 0) + 1))))
-        for s, (_, bits, t) in enumerate(segs)
-    ]
-    near = base.select("seg", F.explode(F.coalesce(*spread)).alias("value"), "n").groupBy("seg", "value").agg(F.sum("n").alias("n"))
-    return near.where(F.col("n") > hot).select("seg", "value", F.ceil(F.col("n") / hot).cast("int").alias("blocks"))
+def ring(tau: int) -> list[int]:
+    """Budgets of the segments, as few as keep every budget at two or less; their number divides 64."""
+    m = next(m for m in (1, 2, 4, 8, 16, 32) if tau - m + 1 <= 2 * m)
+    total = max(0, tau - m + 1)
+    return [total // m + (i < total % m) for i in range(m)]
+
+
+def _low(code: Column, bits: int) -> Column:
+    return code if bits >= BITS else code.bitwiseAND(F.lit((1 << bits) - 1))
+
+
+def _rotated(code: Column, by: int) -> Column:
+    return code if not by else F.shiftrightunsigned(code, by).bitwiseOR(F.shiftleft(code, BITS - by))
 
 
-def _viable(b: list[Column], segs, i: int, upto: int) -> Column:
-    """All chains of 2..upto segments from i keep their budgets."""
-    m, total, parts = len(segs), b[i], []
-    spare = segs[i][2]
-    for n in range(2, upto + 1):
-        j = (i + n - 1) % m
-        total, spare = total + b[j], spare + segs[j][2] + 1
-        parts.append(total <= spare)
-    return reduce(lambda x, y: x & y, parts, b[i] <= segs[i][2])
+def _flipped(seg: int, turned: Column, bits: int, budget: int) -> Column:
+    """Entries of one segment: as it is (flip 0) and with each bit flipped. Flips of a budget of one all count as 1, so that two of them don't meet."""
+    flips = F.array(*(F.struct(F.lit(min(f, f if budget > 1 else 1)).cast("byte").alias("flip"), F.lit((1 << (f - 1)) if f else 0).cast("long").alias("mask")) for f in range((bits if budget else 0) + 1)))
+    return F.transform(flips, lambda x: F.struct(F.lit(seg).cast("byte").alias("seg"), _low(turned, bits).bitwiseXOR(x["mask"]).alias("value"), x["flip"].alias("flip"), turned.alias("turned")))
+
+
+def _entries(nodes: DataFrame, budgets: list[int]) -> DataFrame:
+    width = BITS // len(budgets)
+    per = [_flipped(s, _rotated(F.col("code"), s * width), width, t) for s, t in enumerate(budgets)]
+    return nodes.select("payload", F.inline(F.concat(*per)))
+
+
+def _hot_values(nodes: DataFrame, budgets: list[int], hot: int) -> DataFrame:
+    """(seg, value, blocks) of join keys that more than ``hot`` entries share, from counts of the plain segments."""
+    width = BITS // len(budgets)
+    base = _entries(nodes, [0] * len(budgets)).groupBy("seg", "value").agg(F.count(F.lit(1)).alias("n"))
+    spread = F.coalesce(*(
+        F.when(F.col("seg") == s, F.array(*(F.col("value").bitwiseXOR(F.lit((1 << (f - 1)) if f else 0).cast("long")) for f in range((width if t else 0) + 1)))) for s, t in enumerate(budgets)))
+    near = base.select("seg", F.explode(spread).alias("value"), "n").groupBy("seg", "value").agg(F.sum("n").alias("n"))
+    return near.where(F.col("n") > hot).select("seg", "value", F.ceil(F.col("n") / hot).cast("int").alias("blocks"))
 
 
-def near_codes(nodes: DataFrame, tau: int, keep=None, m: int | None = None, hot: int = 20_000) -> DataFrame:
+def near_codes(nodes: DataFrame, tau: int, keep=None, hot: int = 20_000) -> DataFrame:
     """Unordered pairs of distinct rows (``code`` bigint, ``payload`` bigint) whose codes differ in at most ``tau`` bits.
 
-    Columns code_a, payload_a, code_b, payload_b, dist, with (code, payload) of a smaller. ``keep(payload_a,
-    payload_b)`` may restrict the pairs. Rows must be distinct and without nulls. Keys shared by more than
-    ``hot`` rows are cut into blocks that are joined block by block, so no task holds a hot key alone.
+    Columns code_a, payload_a, code_b, payload_b, dist, with (code, payload) of a smaller; a pair may come out once per
+    segment. ``keep(payload_a, payload_b)`` may restrict the pairs. Rows must be distinct and without nulls. Keys shared by more
+    than ``hot`` entries are cut into blocks that are joined block by block, so no task holds a hot key alone.
     """
-    segs = ring(tau, m)
-    count = len(segs)
-    entries = _entries(nodes, segs)
-    # 2^bits keys a segment bound this table: the join may be a broadcast or not, as Spark's size check decides
-    hot_keys = _hot_values(nodes, segs, hot)
-    tagged = entries.join(F.broadcast(hot_keys), ["seg", "value"], "left") if max(b for _, b, _ in segs) <= 16 else entries.join(hot_keys, ["seg", "value"], "left")
+    budgets = ring(tau)
+    m = len(budgets)
+    width = BITS // m
+    entries = _entries(nodes, budgets)
+    hot_keys = _hot_values(nodes, budgets, hot)
+    # at most 2^16 keys a segment bound this table if segments are that short
+    tagged = entries.join(F.broadcast(hot_keys) if width <= 16 else hot_keys, ["seg", "value"], "left")
     usual = tagged.where(F.col("blocks").isNull()).drop("blocks")
-    warm = tagged.where(F.col("blocks").isNotNull()).withColumn("own", F.pmod(F.xxhash64("code", "payload"), F.col("blocks").cast("long")).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = warm.withColumn("other", every).select("seg", "value", "flip", "code", "payload", F.col("own").alias("bi"), F.col("other").alias("bj"))
-    right = warm.withColumn("other", every).select("seg", "value", "flip", "code", "payload", F.col("other").alias("bi"), F.col("own").alias("bj"))
+    warm = tagged.where(F.col("blocks").isNotNull()).withColumn("own", F.pmod(F.xxhash64("turned", "payload"), F.col("blocks").cast("long")).cast("int"))
+    warm = warm.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    side = ["seg", "value", "flip", "turned", "payload"]
+    left = warm.select(*side, F.col("own").alias("bi"), F.col("other").alias("bj"))
+    right = warm.select(*side, F.col("other").alias("bi"), F.col("own").alias("bj"))
+    # budgets of chains of 2 .. m - 1 links, by the segment they start from
+    chains = [[sum(budgets[(s + i) % m] for i in range(n)) + n - 1 for s in range(m)] for n in range(2, m)]
 
     def matched(x: DataFrame, y: DataFrame, keys: list[str]) -> DataFrame:
         a, c = x.alias("a"), y.alias("c")
-        diff = F.col("a.code").bitwiseXOR(F.col("c.code"))
-        b = [F.bit_count(_segment(diff, shift, bits)) for shift, bits, _ in segs]
+        diff = F.col("a.turned").bitwiseXOR(F.col("c.turned"))
         fa, fc = F.col("a.flip"), F.col("c.flip")
-        # of the ways in which flips on both sides meet, one counts
-        meet = reduce(lambda z, s: z.when(F.col("a.seg") == s, ((fa == 0) & (fc == 0)) | ((fa > fc) if segs[s][2] > 1 else (fc == 0) & F.lit(segs[s][2] > 0))), range(count), F)
-        prune = reduce(lambda z, s: z.when(F.col("a.seg") == s, _viable(b, segs, s, max(2, count - 1)) if count > 1 else F.lit(True)), range(count), F)
-        # a pair comes out at its first viable segment only
-        first = F.lit(True)
-        if count > 1:
-            first = reduce(lambda z, s: z.when(F.col("a.seg") == s, ~reduce(lambda u, v: u | v, [_viable(b, segs, i, count) for i in range(s)])), range(1, count), F)
-            first = first.otherwise(F.lit(True))
-        order = (F.col("a.code") < F.col("c.code")) | ((F.col("a.code") == F.col("c.code")) & (F.col("a.payload") < F.col("c.payload")))
-        on = reduce(lambda u, v: u & v, [F.col(f"a.{k}") == F.col(f"c.{k}") for k in keys])
-        cond = on & order & meet & prune & (F.bit_count(diff) <= tau) & first
+        cond = reduce(lambda u, v: u & v, [F.col(f"a.{k}") == F.col(f"c.{k}") for k in keys])
+        # of the ways in which flips on both sides meet, one counts; both orders of a pair come by
+        cond = cond & ((fa > fc) | ((fa == 0) & (fc == 0)))
+        for n, by_seg in enumerate(chains, 2):
+            spare = F.lit(by_seg[0]) if len(set(by_seg)) == 1 else F.element_at(F.array(*map(F.lit, by_seg)), F.col("a.seg").cast("int") + 1)
+            cond = cond & (F.bit_count(_low(diff, n * width)) <= spare)
+        cond = cond & (F.bit_count(diff) <= tau)
         if keep is not None:
             cond = cond & keep(F.col("a.payload"), F.col("c.payload"))
-        return a.join(c, cond).select(
-            F.col("a.code").alias("code_a"), F.col("a.payload").alias("payload_a"), F.col("c.code").alias("code_b"), F.col("c.payload").alias("payload_b"), F.bit_count(diff).alias("dist"))
+        found = a.join(c, cond).select(F.col("a.seg").alias("seg"), F.col("a.turned").alias("ta"), F.col("a.payload").alias("pa"), F.col("c.turned").alias("tb"), F.col("c.payload").alias("pb"))
+        back = lambda t: F.coalesce(*(F.when(F.col("seg") == s, _rotated(F.col(t), BITS - s * width if s else 0)) for s in range(m)))
+        return found.select(back("ta").alias("code_a"), F.col("pa").alias("payload_a"), back("tb").alias("code_b"), F.col("pb").alias("payload_b")).where(
+            (F.col("code_a") < F.col("code_b")) | ((F.col("code_a") == F.col("code_b")) & (F.col("payload_a") < F.col("payload_b"))))
 
-    return matched(usual, usual, ["seg", "value"]).unionByName(matched(left, right, ["seg", "value", "bi", "bj"]))
+    both = matched(usual, usual, ["seg", "value"]).unionByName(matched(left, right, ["seg", "value", "bi", "bj"]))
+    return both.withColumn("dist", F.bit_count(F.col("code_a").bitwiseXOR(F.col("code_b"))))
 
 
 T1_P, T2_P, T2_D = 10, 12, 10  # fixed values of the gate: p <= 10, or p <= 12 and d <= 10
@@ -127,13 +112,13 @@ def usable(hashes: DataFrame) -> DataFrame:
 
 
 def gate_links(rows: DataFrame, t1: int = T1_P, t2: int = T2_P, t2d: int = T2_D, hot: int = 20_000) -> tuple[DataFrame, DataFrame]:
-    """The gate between different p: pairs of p values that pass by p alone (any d), and pairs of (p, d) values that pass only with d."""
+    """The gate between different p: pairs of p values that pass by p alone (any d), and pairs of (p, d) values that pass only with d. Pairs may be repeated."""
     by_p = near_codes(rows.select(F.col("p").alias("code"), F.lit(0).cast("long").alias("payload")).distinct(), t1, hot=hot)
     apart = lambda a, b: F.bit_count(a.bitwiseXOR(b)).between(t1 + 1, t2)
     by_d = near_codes(rows.select(F.col("d").alias("code"), F.col("p").alias("payload")).distinct(), t2d, keep=apart, hot=hot)
     return (
-        by_p.select(F.col("code_a").alias("p_a"), F.col("code_b").alias("p_b"), F.col("dist").alias("p_dist")),
-        by_d.select(F.col("payload_a").alias("p_a"), F.col("code_a").alias("d_a"), F.col("payload_b").alias("p_b"), F.col("code_b").alias("d_b"), F.bit_count(F.col("payload_a").bitwiseXOR(F.col("payload_b"))).alias("p_dist")),
+        by_p.select(F.col("code_a").alias("p_a"), F.col("code_b").alias("p_b"), F.col("dist").cast("long").alias("p_dist")),
+        by_d.select(F.col("payload_a").alias("p_a"), F.col("code_a").alias("d_a"), F.col("payload_b").alias("p_b"), F.col("code_b").alias("d_b"), F.bit_count(F.col("payload_a").bitwiseXOR(F.col("payload_b"))).cast("long").alias("p_dist")),
     )
 
 
@@ -144,7 +129,7 @@ def similar_pairs(hashes: DataFrame, **gate) -> DataFrame:
     Extra columns are ignored; an empty table gives no row.
     """
     rows = usable(hashes)
-    by_p, by_d = gate_links(rows, **gate)
+    by_p, by_d = (x.drop("p_dist").distinct() for x in gate_links(rows, **gate))
     a = rows.select(F.col("ord").alias("x"), F.col("p").alias("p_a"), F.col("d").alias("d_a"))
     b = rows.select(F.col("ord").alias("y"), F.col("p").alias("p_b"), F.col("d").alias("d_b"))
     same = a.join(b, (F.col("p_a") == F.col("p_b")) & (F.col("x") < F.col("y"))).select("x", "y")
