@@ -124,7 +124,9 @@ def cluster_document(labels: DataFrame, files: DataFrame, failed: DataFrame, k:
     bad = failed.agg(F.array_sort(F.collect_list("domain")).alias("failed_domains"))
     params = F.struct(*(F.lit(v).cast("int").alias(n) for n, v in zip(("hash_size", "norm_size", "t1_phash", "t2_phash", "t2_dhash", "k_clusters"), (V.HASH_SIDE, V.NORM_SIDE, *gate, k))))
     stats = summary(labels)
-    return doc.join(bad).join(stats).select(
+    # three tables of one row each
+    one = [x.withColumn("__one", F.lit(1)) for x in (doc, bad, stats)]
+    return one[0].join(one[1], "__one").join(one[2], "__one").select(
         *(F.col(c).cast("int").alias(c) for c in ("total_domains", "total_groups", "multi_groups", "singletons")), "failed_domains", params.alias("parameters"), F.lit(time_s).alias("time_s"), "groups")
 
 
