@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -41,3 +41,9 @@ def points(cond: Column, n: int) -> Column:
 
 def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
+
+
+def computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns behind a generator, which filters are not pushed through: long expressions are evaluated once, not once per use."""
+    row = F.array(F.struct(*(c.alias(n) for n, c in columns.items())))
+    return df.drop(*columns).select("*", F.inline(row))

@@ -15,7 +15,7 @@ CLOSES = {
     "li": {"li"}, "p": {"p"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"},
     **{t: {"p"} for t in ("div", "ul", "ol", "table", "header", "footer", "nav", "section", "article", "form", "h1", "h2", "h3", "h4", "h5", "h6")},
 }
-SCOPE = {"ul", "ol", "table", "select", "dl", "div", "header", "footer", "nav", "section", "article", "body", "html", "a", "form"}
+SCOPE = {"ul", "ol", "table", "select", "dl", "div", "header", "footer", "nav", "section", "article", "body", "html", "form"}
 RAW = {"script", "style", "title", "textarea"}
 
 ELEMENT = (

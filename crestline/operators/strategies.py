@@ -15,7 +15,7 @@ from crestline.functions import fixed_values as V
 from crestline.functions.regions import in_footer, in_header, in_logo_widget, in_nav, is_captcha_page, is_dealer_address, is_framework_icon, is_ui_icon
 from crestline.functions.scoring import image_score
 from crestline.functions.svg import fix_current_color, svg_data_uri, too_small
-from crestline.functions.text import has, has_any, low, points, text_or_empty
+from crestline.functions.text import computed, has, has_any, low, points, text_or_empty
 from crestline.functions.urls import icon_size_bonus, image_source, is_home_link, is_likely_logo, is_valid_image, normalize_url, strip
 
 OUT = ["page", "idx", "url", "score"]
@@ -36,7 +36,7 @@ def link_tags(elements: DataFrame, bases: DataFrame) -> DataFrame:
     """X1."""
     rel = F.lower(F.array_join(F.split(strip(text_or_empty(F.col("attrs")["rel"])), r"\s+"), " "))
     rows = _with_base(elements.where((F.col("tag") == "link") & (text_or_empty(F.col("attrs")["href"]) != "")), bases)
-    rows = rows.withColumn("url", normalize_url(F.col("attrs")["href"], F.col("base_url"))).where(is_valid_image(F.col("url")))
+    rows = computed(rows, url=normalize_url(F.col("attrs")["href"], F.col("base_url"))).where(is_valid_image(F.col("url")))
     icon = has(rel, "icon")
     score = (
         F.when(has(rel, "apple-touch-icon"), 60).when(icon & F.lower("url").endswith(".svg"), 65)
@@ -50,7 +50,7 @@ def meta_tags(elements: DataFrame, bases: DataFrame) -> DataFrame:
     prop = F.lower(F.coalesce(F.nullif(a["property"], F.lit("")), text_or_empty(a["name"])))
     base = reduce(lambda w, kv: w.when(prop == kv[0], kv[1]), V.META_SCORES.items(), F)
     rows = elements.where((F.col("tag") == "meta") & (text_or_empty(a["content"]) != "")).withColumn("base", base).where("base is not null")
-    rows = _with_base(rows, bases).withColumn("url", normalize_url(a["content"], F.col("base_url"))).where(is_valid_image(F.col("url")))
+    rows = computed(_with_base(rows, bases), url=normalize_url(a["content"], F.col("base_url"))).where(is_valid_image(F.col("url")))
     score = F.col("base") + points(is_likely_logo(F.col("url")), 20) + points(has_any(F.lower("url"), V.META_BRANDS), -60)
     return rows.select("page", F.col("node_id").alias("idx"), "url", score.alias("score"))
 
@@ -63,9 +63,8 @@ def image_contexts(elements: DataFrame, bases: DataFrame) -> DataFrame:
         value = F.try_element_at(anc, F.lit(i))[f]
         return text_or_empty(F.array_join(value, " ") if f == "classes" else value)
 
-    rows = elements.where("tag = 'img'").withColumn("src", image_source(F.col("attrs"))).where("src is not null")
-    rows = rows.withColumn("hdr", in_header(anc)).withColumn("nav", in_nav(anc)).withColumn("widget", in_logo_widget(anc)).where("hdr or nav or widget")
-    rows = _with_base(rows, bases).withColumn("url", normalize_url(F.col("src"), F.col("base_url"))).where(is_valid_image(F.col("url")))
+    rows = computed(elements.where("tag = 'img'"), src=image_source(F.col("attrs")), hdr=in_header(anc), nav=in_nav(anc), widget=in_logo_widget(anc)).where("src is not null and (hdr or nav or widget)")
+    rows = computed(_with_base(rows, bases), url=normalize_url(F.col("src"), F.col("base_url"))).where(is_valid_image(F.col("url")))
     return rows.select(
         "page", F.col("node_id").alias("idx"), "url", text_or_empty(F.col("attrs")["alt"]).alias("alt"), F.array_join("classes", " ").alias("class"), "id",
         at(1, "classes").alias("parent_class"), at(1, "id").alias("parent_id"), at(2, "classes").alias("grandparent_class"), at(2, "id").alias("grandparent_id"),
@@ -80,13 +79,12 @@ def img_tags(elements: DataFrame, bases: DataFrame) -> DataFrame:
     images = images.withColumn("a_id", F.try_element_at("a_id", F.lit(1))["node_id"]).join(anchors, ["page", "a_id"], "left")
     contexts = image_contexts(images, bases)
     names = [c for c in contexts.columns if c not in ("page", "idx")]
-    return contexts.withColumn("score", image_score({c: F.col(c) for c in names})).where("score > 0").select(*OUT)
+    return computed(contexts, score=image_score({c: F.col(c) for c in names})).where("score > 0").select(*OUT)
 
 
-def _inline(svg: Column) -> tuple[Column, Column]:
-    """(fixed markup, whether it is more than an icon)."""
-    fixed = fix_current_color(svg)
-    return fixed, (F.length(fixed) > V.LEAST_SVG_CHARS) & ~too_small(fixed)
+def _drawings(rows: DataFrame, svg: Column) -> DataFrame:
+    """Adds ``fixed``, the markup with black for currentColor; drawings that are no more than icons are left out."""
+    return computed(rows, fixed=fix_current_color(svg)).where((F.length("fixed") > V.LEAST_SVG_CHARS) & ~too_small(F.col("fixed")))
 
 
 def svg_inline(elements: DataFrame, bases: DataFrame) -> DataFrame:
@@ -101,13 +99,12 @@ def svg_inline(elements: DataFrame, bases: DataFrame) -> DataFrame:
     anchors = elements.where((F.col("tag") == "a") & F.array_contains(F.map_keys("attrs"), "href")).where(in_header(F.col("ancestors")) | in_nav(F.col("ancestors")))
     anchors = anchors.select("page", F.col("node_id").alias("a_id"), F.col("attrs").alias("a_attrs"), F.lower(F.array_join("classes", " ")).alias("a_cls"), F.lower("id").alias("a_name"))
     links = _with_base(anchors.join(held, ["page", "a_id"]), bases).where(is_home_link(strip(F.col("a_attrs")["href"]), F.col("base_url")))
-    photo = normalize_url(image_source_plain(F.col("img.attrs")), F.col("base_url"))
-    with_img = links.where("img is not null").withColumn("url", photo).where(is_valid_image(F.col("url"))).select("page", F.col("a_id").alias("idx"), "url", F.lit(75).alias("score"))
-    fixed, real = _inline(F.col("svg.text"))
+    with_img = computed(links.where("img is not null"), src=image_source_plain(F.col("img.attrs")))
+    with_img = computed(with_img, url=normalize_url(F.col("src"), F.col("base_url"))).where(is_valid_image(F.col("url"))).select("page", F.col("a_id").alias("idx"), "url", F.lit(75).alias("score"))
     a_ctx = F.concat_ws(" ", "a_cls", "a_name")
     plain = (low(F.col("svg.attrs")["aria-hidden"]) != "true") & ~is_ui_icon(F.col("svg.cls")) & ~(is_ui_icon(a_ctx) & ~has(a_ctx, "logo"))
     score = F.when(has_any(F.col("a_cls"), ["brand", "logo"]), 90).otherwise(80) + points(has(low(F.col("a_attrs")["aria-label"]), "home"), 5)
-    drawn = links.where(F.col("img").isNull() & plain & real).select("page", F.col("a_id").alias("idx"), svg_data_uri(fixed).alias("url"), score.alias("score"))
+    drawn = _drawings(links.where(F.col("img").isNull() & plain), F.col("svg.text")).select("page", F.col("a_id").alias("idx"), svg_data_uri(F.col("fixed")).alias("url"), score.alias("score"))
 
     near = F.slice("ancestors", 1, 5)
     cls = lambda x: F.lower(F.array_join(x["classes"], " "))
@@ -115,11 +112,10 @@ def svg_inline(elements: DataFrame, bases: DataFrame) -> DataFrame:
     hdr = F.exists(near, lambda x: (x["tag"] == "header") | cls(x).contains("header") | (F.lower(x["role"]) == "banner"))
     nav = F.exists(near, lambda x: (x["tag"] == "nav") | cls(x).contains("nav-") | F.concat(cls(x), F.lit(" ")).contains("nav ") | (F.lower(x["role"]) == "navigation"))
     foot = F.exists(near, lambda x: (x["tag"] == "footer") | cls(x).contains("footer"))
-    fixed2, real2 = _inline(F.col("text"))
     boxes = elements.where((F.col("tag") == "svg") & (low(a_attr["aria-hidden"]) != "true") & ~is_ui_icon(F.array_join("classes", " ")))
-    boxes = boxes.where(logo & (hdr | nav) & ~foot & real2).join(bases.select("page"), "page")
+    boxes = computed(boxes, logo=logo, hdr=hdr, nav=nav, foot=foot).where("logo and (hdr or nav) and not foot").join(bases.select("page"), "page")
     # the second approach comes after all of the first
-    contained = boxes.select("page", (F.col("node_id") + 1_000_000_000).alias("idx"), svg_data_uri(fixed2).alias("url"), F.when(hdr & nav, 95).otherwise(85).alias("score"))
+    contained = _drawings(boxes, F.col("text")).select("page", (F.col("node_id") + 1_000_000_000).alias("idx"), svg_data_uri(F.col("fixed")).alias("url"), F.when(F.expr("hdr and nav"), 95).otherwise(85).alias("score"))
     return with_img.unionByName(drawn).unionByName(contained)
 
 
@@ -142,7 +138,7 @@ def json_ld(elements: DataFrame, bases: DataFrame) -> DataFrame:
 
     found = items.select("page", "base_url", "node_id", "pos", address("logo").alias("logo"), address("image").alias("image"))
     found = found.select("page", "base_url", "node_id", "pos", F.posexplode(F.array("logo", "image")).alias("which", "raw")).where("raw is not null")
-    found = found.where((F.col("which") == 0) | is_likely_logo(F.col("raw"))).withColumn("url", normalize_url(F.col("raw"), F.col("base_url"))).where("url is not null")
+    found = computed(found.where((F.col("which") == 0) | is_likely_logo(F.col("raw"))), url=normalize_url(F.col("raw"), F.col("base_url"))).where("url is not null")
     score = F.when(F.col("which") == 1, 70).when(is_dealer_address(F.col("url")), 50).otherwise(90)
     idx = (F.col("node_id") * 1000 + F.least("pos", F.lit(499)) * 2 + F.col("which")).cast("int")
     return found.select("page", idx.alias("idx"), "url", score.alias("score"))
@@ -153,7 +149,8 @@ def css_background(elements: DataFrame, bases: DataFrame) -> DataFrame:
     anc = F.col("ancestors")
     rows = elements.where(F.col("attrs")["style"].isNotNull()).where(in_header(anc) | in_nav(anc))
     raw = F.regexp_extract(F.col("attrs")["style"], r"""(?i)url\(['"]?([^)'"]+(?:logo|brand)[^)'"]*)['"]?\)""", 1)
-    rows = _with_base(rows.withColumn("raw", raw).where("raw <> ''"), bases).withColumn("url", normalize_url(F.col("raw"), F.col("base_url")))
+    rows = computed(rows, raw=raw).where("raw <> ''")
+    rows = computed(_with_base(rows, bases), url=normalize_url(F.col("raw"), F.col("base_url")))
     return rows.where(is_valid_image(F.col("url"))).select("page", F.col("node_id").alias("idx"), "url", F.lit(55).alias("score"))
 
 
@@ -161,7 +158,7 @@ def manifest_icons(manifests: DataFrame) -> DataFrame:
     """(page, manifest_url, body) of fetched manifests to icons."""
     icons = F.from_json("body", "icons array<struct<src:string,sizes:string>>")["icons"]
     rows = manifests.select("page", "manifest_url", F.posexplode(icons).alias("idx", "icon")).where("icon.src <> ''")
-    rows = rows.withColumn("url", normalize_url(F.col("icon.src"), F.col("manifest_url"))).where(F.col("url").isNotNull() & ~is_framework_icon(F.col("url")))
+    rows = computed(rows, url=normalize_url(F.col("icon.src"), F.col("manifest_url"))).where(F.col("url").isNotNull() & ~is_framework_icon(F.col("url")))
     bonus = F.when(has(F.col("icon.sizes"), "x"), icon_size_bonus(F.col("icon.sizes"))).otherwise(0)
     return rows.select("page", "idx", "url", (35 + bonus).alias("score"))
 
