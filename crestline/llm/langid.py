@@ -28,6 +28,7 @@ MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # any odd numbers do
 SWITCH = 14.0  # evidence, in n-grams, that a change of language has to bring
 LEAST_CHARS = 60
 PER_LANGUAGE = 300
+STEP_CELLS = 1_000_000
 
 _BITS = np.array([[(m >> i) & 1 for i in range(8)] for m in range(256)], "uint8")
 
@@ -228,7 +229,15 @@ def classify(texts: list[str], filters: Filters, switch: float = SWITCH, least:
             low = np.minimum.accumulate(before + wall) - wall
             mixed[t.word_doc[heads]] |= np.maximum.reduceat(gain - low, heads) > switch
     split = np.flatnonzero(mixed & (best >= 0))
-    paths = dict(zip(split.tolist(), _viterbi(score, [(int(edge[d]), int(edge[d + 1])) for d in split], switch))) if len(split) else {}
+    paths = {}
+    # documents of like length step together; the cells held at once are bounded unless a single document exceeds them
+    split = split[np.argsort(edge[split + 1] - edge[split], kind="stable")].tolist()
+    while split:
+        part, longest = [], 0
+        while split and (not part or max(longest, edge[split[-1] + 1] - edge[split[-1]]) * (len(part) + 1) <= STEP_CELLS):
+            part.append(split.pop())
+            longest = max(longest, int(edge[part[-1] + 1] - edge[part[-1]]))
+        paths |= zip(part, _viterbi(score, [(int(edge[d]), int(edge[d + 1])) for d in part], switch))
     out = []
     for d, text in enumerate(texts):
         a, b, off = int(edge[d]), int(edge[d + 1]), int(t.doc_start[d])

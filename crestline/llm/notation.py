@@ -7,7 +7,7 @@ import hashlib
 import json
 import re
 import unicodedata
-from decimal import Decimal, InvalidOperation
+from decimal import Context, Decimal, InvalidOperation
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,6 +19,9 @@ from crestline.plans.scratch import Scratch
 TEXT_FIELDS = ("logo_url", "source_strategy", "downloaded_path", "error")
 NUMBER_FIELDS = ("http_status", "extraction_time_ms", "_best_score")
 
+_EXACT = Context(prec=10_000)
+# fixed values: characters without a shape that Unicode counts as letters, marks or symbols
+_SHAPELESS = frozenset(map(chr, (0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x2800, 0x3164, 0xFFA0, *range(0xFE00, 0xFE10))))
 _PAIR = re.compile(r"""\s*,?\s*(?:"((?:[^"\\]|\\.)*)"|'((?:[^'\\]|\\.)*)'|([^\s:,'"{}]+))\s*:\s*(?:"((?:[^"\\]|\\.)*)"|'((?:[^'\\]|\\.)*)'|([^,}]*))""", re.S)
 
 
@@ -59,7 +62,7 @@ def parse_record(text: str) -> dict | None:
 
 def host_key(value) -> str:
     """A host without white space and invisible characters anywhere, case, and punctuation around it."""
-    s = "".join(c for c in str(value) if c.isascii() and c > " " and c != "\x7f" or not c.isascii() and unicodedata.category(c)[0] not in "ZC")
+    s = "".join(c for c in str(value) if c.isascii() and c > " " and c != "\x7f" or not c.isascii() and c not in _SHAPELESS and unicodedata.category(c)[0] not in "ZC")
     s = s.lower()
     a, b = 0, len(s)
     while a < b and not s[a].isalnum():
@@ -77,7 +80,7 @@ def _number_key(value) -> str:
     try:
         n = Decimal(str(value).strip()) if not isinstance(value, bool) else Decimal(int(value))
         if n.is_finite():
-            return "n" + str(n.normalize() + 0)
+            return "n" + str(_EXACT.plus(_EXACT.normalize(n)))
     except InvalidOperation:
         pass
     return "s" + _text_key(value)
