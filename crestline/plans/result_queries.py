@@ -10,6 +10,7 @@ from crestline.operators.clustering import is_ok
 from crestline.operators.downloads import override, retry_class
 from crestline.operators.extraction import extract_candidates
 from crestline.operators.report import file_types, strategy_histogram, totals
+from crestline.plans.address_queries import SCORES, any_token
 from crestline.plans.session import table
 
 
@@ -106,7 +107,17 @@ _THERE = lambda c: f"coalesce({c} <> '', false)"
 _OK = f"({_THERE('downloaded_path')} AND coalesce(error, '') = '')"
 _LIST = lambda tokens: ", ".join(f"'{t}'" for t in tokens)
 _SOURCES = " ".join(f"WHEN '{k}' THEN {v}" for k, v in V.SOURCE_SCORES.items())
+_CONTEXT = "concat_ws(' ', 'logo', p)"
+# on the synthetic pages: own class logo, in a header, first image, linked to the home page
+_IMG = f"""{' + '.join(f'({e})' for e in SCORES.values())} + 50 + 30 + 20 + 40
+    - CASE WHEN {any_token(_CONTEXT, V.DEALER_WORDS)} THEN 20 ELSE 0 END - CASE WHEN {any_token(_CONTEXT, V.PARTNER_WORDS)} THEN 25 ELSE 0 END"""
 SQL = {
+    "page_candidates": f"""WITH o AS (SELECT domain, arg_min(logo_url, result_id) AS url FROM extraction_results WHERE domain IS NOT NULL AND logo_url <> '' GROUP BY domain),
+  u AS (SELECT domain, url, lower(url) AS l, regexp_extract(lower(url), '([^/]*)$', 1) AS f, lower(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)', 1)) AS p FROM o),
+  v AS (SELECT * FROM u WHERE NOT {any_token('f', V.REJECT_FILENAME)} AND NOT {any_token('l', V.REJECT_ADDRESS)} AND NOT (contains(f, 'flag') AND NOT contains(f, 'logo')) AND NOT {any_token('l', V.THIRD_PARTY)})
+  SELECT domain, 'link_tag' AS strategy, url, CASE WHEN ends_with(l, '.svg') THEN 65 ELSE 40 END AS score FROM v
+  UNION ALL SELECT domain, 'meta_tag', url, 45 + CASE WHEN {any_token('l', V.LIKELY_LOGO)} THEN 20 ELSE 0 END - CASE WHEN {any_token('l', V.META_BRANDS)} THEN 60 ELSE 0 END FROM v
+  UNION ALL SELECT domain, 'img_tag', url, {_IMG} FROM v WHERE {_IMG} > 0""",
     "candidate_dedup": f"WITH {_C} SELECT * FROM b",
     "candidate_best": f"WITH {_C} SELECT domain, url, score, strategy FROM r WHERE rank = 1",
     "candidate_top": f"WITH {_C} SELECT domain, rank, url, score, strategy FROM r WHERE rank <= {V.SPARES + 1}",
