@@ -4,7 +4,7 @@ A 64-bit code is cut into m equal segments in a ring, with budgets T_0..T_{m-1}
 If two codes differ in at most tau bits, some segment i exists from which every chain of l segments
 holds at most (T_i + ... + T_{i+l-1}) + l - 1 differences: the numbers b_j - T_j - 1 sum to a negative
 value around the ring, so by the cycle lemma all their partial sums from some i are negative. The first
-link of the chain (b_i <= T_i <= 2) is an equi-join on segments with at most one bit flipped on either
+link of the chain (b_i <= T_i <= 2) is an equi-join on segments with at most one bit set or cleared on either
 side; longer links prune the candidates before the whole codes are compared. No pair is lost.
 
 Codes are rotated so that the chain starts at bit 0: the condition of the join stays a few instructions
@@ -36,10 +36,32 @@ def _rotated(code: Column, by: int) -> Column:
     return code if not by else F.shiftrightunsigned(code, by).bitwiseOR(F.shiftleft(code, BITS - by))
 
 
+def _bit(i: int) -> int:
+    return 1 << i if i < BITS - 1 else -(1 << (BITS - 1))
+
+
+SINGLE = 100  # flip number of all set bits of a segment whose budget is one
+
+
 def _flipped(seg: int, turned: Column, bits: int, budget: int) -> Column:
-    """Entries of one segment: as it is (flip 0) and with each bit flipped. Flips of a budget of one all count as 1, so that two of them don't meet."""
-    flips = F.array(*(F.struct(F.lit(min(f, f if budget > 1 else 1)).cast("byte").alias("flip"), F.lit((1 << (f - 1)) if f else 0).cast("long").alias("mask")) for f in range((bits if budget else 0) + 1)))
-    return F.transform(flips, lambda x: F.struct(F.lit(seg).cast("byte").alias("seg"), _low(turned, bits).bitwiseXOR(x["mask"]).alias("value"), x["flip"].alias("flip"), turned.alias("turned")))
+    """Entries of one segment: as it is (flip 0), with each 0 set (flip i + 1) and, if the budget is two, with each 1 cleared (flip -(i + 1)).
+
+    A pair that differs in one bit meets where its 0 is set; in two bits, where both 0s are set or, if they stand on
+    one side, where one is set there and the other's 1 is cleared.
+    """
+    low = _low(turned, bits)
+
+    def entry(value: Column, flip: Column) -> Column:
+        return F.struct(F.lit(seg).cast("byte").alias("seg"), value.alias("value"), flip.cast("byte").alias("flip"), turned.alias("turned"))
+
+    plain = F.array(entry(low, F.lit(0)))
+    if not budget:
+        return plain
+    masks = F.array(*(F.struct(F.lit(i + 1).alias("n"), F.lit(_bit(i)).cast("long").alias("mask")) for i in range(bits)))
+    zero = lambda x: low.bitwiseAND(x["mask"]) == 0
+    if budget == 1:
+        return F.concat(plain, F.transform(F.filter(masks, zero), lambda x: entry(low.bitwiseOR(x["mask"]), F.lit(SINGLE))))
+    return F.concat(plain, F.transform(masks, lambda x: entry(low.bitwiseXOR(x["mask"]), F.when(zero(x), x["n"]).otherwise(-x["n"]))))
 
 
 def _entries(nodes: DataFrame, budgets: list[int]) -> DataFrame:
@@ -53,7 +75,7 @@ def _hot_values(nodes: DataFrame, budgets: list[int], hot: int) -> DataFrame:
     width = BITS // len(budgets)
     base = _entries(nodes, [0] * len(budgets)).groupBy("seg", "value").agg(F.count(F.lit(1)).alias("n"))
     spread = F.coalesce(*(
-        F.when(F.col("seg") == s, F.array(*(F.col("value").bitwiseXOR(F.lit((1 << (f - 1)) if f else 0).cast("long")) for f in range((width if t else 0) + 1)))) for s, t in enumerate(budgets)))
+        F.when(F.col("seg") == s, F.array(*(F.col("value").bitwiseXOR(F.lit(_bit(f - 1) if f else 0).cast("long")) for f in range((width if t else 0) + 1)))) for s, t in enumerate(budgets)))
     near = base.select("seg", F.explode(spread).alias("value"), "n").groupBy("seg", "value").agg(F.sum("n").alias("n"))
     return near.where(F.col("n") > hot).select("seg", "value", F.ceil(F.col("n") / hot).cast("int").alias("blocks"))
 
@@ -82,22 +104,25 @@ def near_codes(nodes: DataFrame, tau: int, keep=None, hot: int = 20_000) -> Data
     chains = [[sum(budgets[(s + i) % m] for i in range(n)) + n - 1 for s in range(m)] for n in range(2, m)]
 
     def matched(x: DataFrame, y: DataFrame, keys: list[str]) -> DataFrame:
-        a, c = x.alias("a"), y.alias("c")
+        a, c = x.where(F.col("flip") >= 0).alias("a"), y.where(F.col("flip") < SINGLE).alias("c")
         diff = F.col("a.turned").bitwiseXOR(F.col("c.turned"))
         fa, fc = F.col("a.flip"), F.col("c.flip")
         cond = reduce(lambda u, v: u & v, [F.col(f"a.{k}") == F.col(f"c.{k}") for k in keys])
-        # of the ways in which flips on both sides meet, one counts; both orders of a pair come by
-        cond = cond & ((fa > fc) | ((fa == 0) & (fc == 0)))
+        # where both flip or neither does, both orders of a pair meet; that is settled after the join, whose condition has to stay short
+        cond = cond & ((fa > 0) | (fc == 0)) & ((fa != fc) | (fc == 0)) & ((fc >= 0) | (fa + fc < 0))
         for n, by_seg in enumerate(chains, 2):
             spare = F.lit(by_seg[0]) if len(set(by_seg)) == 1 else F.element_at(F.array(*map(F.lit, by_seg)), F.col("a.seg").cast("int") + 1)
             cond = cond & (F.bit_count(_low(diff, n * width)) <= spare)
         cond = cond & (F.bit_count(diff) <= tau)
         if keep is not None:
             cond = cond & keep(F.col("a.payload"), F.col("c.payload"))
-        found = a.join(c, cond).select(F.col("a.seg").alias("seg"), F.col("a.turned").alias("ta"), F.col("a.payload").alias("pa"), F.col("c.turned").alias("tb"), F.col("c.payload").alias("pb"))
+        # a generator keeps what follows out of the join's condition
+        hit = F.struct(F.col("a.seg").alias("seg"), F.col("a.turned").alias("ta"), F.col("a.payload").alias("pa"), F.col("c.turned").alias("tb"), F.col("c.payload").alias("pb"))
+        found = a.join(c, cond).select(F.inline(F.array(hit)))
         back = lambda t: F.coalesce(*(F.when(F.col("seg") == s, _rotated(F.col(t), BITS - s * width if s else 0)) for s in range(m)))
-        return found.select(back("ta").alias("code_a"), F.col("pa").alias("payload_a"), back("tb").alias("code_b"), F.col("pb").alias("payload_b")).where(
-            (F.col("code_a") < F.col("code_b")) | ((F.col("code_a") == F.col("code_b")) & (F.col("payload_a") < F.col("payload_b"))))
+        found = found.select(F.struct(back("ta").alias("code"), F.col("pa").alias("payload")).alias("x"), F.struct(back("tb").alias("code"), F.col("pb").alias("payload")).alias("y"))
+        found = found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).where("x <> y")
+        return found.select(*(F.col(f"{v}.{k}").alias(f"{k}_{n}") for n, v in (("a", "x"), ("b", "y")) for k in ("code", "payload")))
 
     both = matched(usual, usual, ["seg", "value"]).unionByName(matched(left, right, ["seg", "value", "bi", "bj"]))
     return both.withColumn("dist", F.bit_count(F.col("code_a").bitwiseXOR(F.col("code_b"))))
