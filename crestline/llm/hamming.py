@@ -90,6 +90,8 @@ def near_codes(nodes: DataFrame, tau: int, keep=None, hot: int = 20_000) -> Data
     budgets = ring(tau)
     m = len(budgets)
     width = BITS // m
+    # a row becomes up to 60 entries: its own number of tasks, which adaptive execution leaves as it is
+    nodes = nodes.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "code")
     entries = _entries(nodes, budgets)
     hot_keys = _hot_values(nodes, budgets, hot)
     # at most 2^16 keys a segment bound this table if segments are that short
