@@ -116,6 +116,13 @@ def test_forest_keeps_links():
     a, b, d = g.integers(0, 50, 300), g.integers(0, 50, 300), g.integers(0, 12, 300)
     keep = _forest(a, b, d)
     assert brute_groups(zip(a[keep].tolist(), b[keep].tolist())) == brute_groups((x, y) for x, y in zip(a.tolist(), b.tolist()) if x != y)
+    # the same edges in any order and in pieces, as a repeated task may read them
+    edges = lambda k, a, b, d: {(int(d[i]), *sorted((int(a[i]), int(b[i])))) for i in k}
+    mix = g.permutation(300)
+    a2, b2, d2 = b[mix], a[mix], d[mix]
+    first = _forest(a2[:150], b2[:150], d2[:150])
+    a3, b3, d3 = (np.concatenate([x[first], x[150:]]) for x in (a2, b2, d2))
+    assert edges(keep, a, b, d) == edges(_forest(a2, b2, d2), a2, b2, d2) == edges(_forest(a3, b3, d3), a3, b3, d3)
 
 
 SHAPES = {
