@@ -1,14 +1,15 @@
 """One surviving record per duplicate group, built from consistent bundles of fields.
 
 Fields that only make sense together (a file and the strategy that found it) form a bundle and are taken whole from
-one record. Bundles are chosen in order of priority so that their ranks are greatest (lexicographically), under
+one record. Trust is the tuple of the bundles' ranks in order of priority; the choice with the greatest tuple wins, under
 functional dependencies: a later bundle must agree with the earlier ones on its determinant fields. The search is a
-branch-and-bound over all groups at once:
+branch-and-bound over all groups at once, one level per bundle:
 
 * dominance: of the candidates of a bundle with the same source and determinants only the best-ranked can be in an
   optimum; they are found by a combining aggregation per source, so hot sources and groups are no matter;
-* branch: a bundle's candidates are joined to the open choices on group and determinants;
-* bound: a choice whose rank for this bundle is below the best of its group can't be made good by later bundles.
+* branch: every open choice of a group is extended by the bundle's candidate that agrees with it;
+* bound: the best rank that any open choice of the group reaches at this level; a choice below it can't be made good by
+  bundles of lower priority and is closed. Choices that tie stay open and are told apart by later bundles.
 """
 
 from __future__ import annotations
@@ -40,29 +41,34 @@ def consistent_survivors(members: DataFrame, group: list[str], source: str, reco
     """One row per group with the first bundle's fields and, where a candidate agrees, those of the others (else null).
 
     ``members``: (group columns, source), repeated rows count once; ``records`` holds rows per source. A group of which
-    no record is usable for the first bundle gives no row. Null sources match nothing; extra columns are ignored.
+    no record is usable for the first bundle gives no row. Choices that tie in all ranks are told apart by their fields, the
+    greatest first. Null sources match nothing; extra columns are ignored.
     """
     belongs = members.select(*group, F.col(f"`{source}`").alias("__source")).where(F.col("__source").isNotNull()).distinct()
-    first, *rest = bundles
-    best = _best_per_source(records, source, first)
-    # bound of the first bundle: ranks are total up to equal fields, so one choice per group stays open
-    open_ = belongs.join(best, "__source").groupBy(*group).agg(F.max(F.struct(F.col(first.name), F.col("__source"))).alias("__top"))
-    open_ = open_.select(*group, F.col("__top.__source").alias("__source"), F.col(f"__top.{first.name}.fields.*"))
-    for bundle in rest:
+    open_, where_is = belongs, {}
+    for level, bundle in enumerate(bundles):
         cand = _best_per_source(records, source, bundle)
         theirs = [d for d in bundle.determinants if d != source]
-        if source in bundle.determinants:
+        on = F.lit(True)
+        if not level or source in bundle.determinants:
             found = cand.withColumnRenamed("__source", "__s")
             on = F.col("__source") == F.col("__s")
         else:
-            found = belongs.join(cand, "__source").select(*(F.col(g).alias(f"__g_{g}") for g in group), *(f"__d_{d}" for d in theirs), bundle.name)
-            found = found.groupBy(*(f"__g_{g}" for g in group), *(f"__d_{d}" for d in theirs)).agg(F.max(bundle.name).alias(bundle.name))
-            on = F.lit(True)
+            found = belongs.join(cand, "__source").groupBy(*(F.col(g).alias(f"__g_{g}") for g in group), *(f"__d_{d}" for d in theirs)).agg(F.max(bundle.name).alias(bundle.name))
             for g in group:
-                on = on & (F.col(g) == F.col(f"__g_{g}"))
+                on = on & F.col(g).eqNullSafe(F.col(f"__g_{g}"))
         for d in theirs:
-            on = on & F.col(d).eqNullSafe(F.col(f"__d_{d}"))
-        joined = open_.join(found, on, "left")
-        new = [f for f in bundle.fields if f not in open_.columns]
-        open_ = joined.select(*open_.columns, *(F.col(f"{bundle.name}.fields.{f}").alias(f) for f in new))
-    return open_.drop("__source")
+            on = on & where_is[d].eqNullSafe(F.col(f"__d_{d}"))
+        open_ = open_.join(found, on, "left" if level else "inner").select(*open_.columns, bundle.name)
+        for f in bundle.fields:
+            where_is.setdefault(f, F.col(f"{bundle.name}.fields.{f}"))
+        if level < len(bundles) - 1:
+            bound = open_.groupBy(*(F.col(g).alias(f"__b_{g}") for g in group)).agg(F.max(f"{bundle.name}.rank").alias("__bound"))
+            same = F.lit(True)
+            for g in group:
+                same = same & F.col(g).eqNullSafe(F.col(f"__b_{g}"))
+            open_ = open_.join(bound, same & F.col(f"{bundle.name}.rank").eqNullSafe(F.col("__bound"))).select(*open_.columns)
+    ranks = [F.col(f"{b.name}.rank").alias(f"r{i}") for i, b in enumerate(bundles)]
+    best = open_.groupBy(*group).agg(F.max(F.struct(*ranks, *(b.name for b in bundles))).alias("__best"))
+    first_in = {f: b.name for b in reversed(bundles) for f in b.fields}
+    return best.select(*group, *(F.col(f"__best.{first_in[f]}.fields.{f}").alias(f) for f in where_is if f not in group))

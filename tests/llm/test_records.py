@@ -103,3 +103,13 @@ def test_survivors_equal_brute_force(small):
     assert {k: (v.result_id, v.http_status, other[k].http_status) for k, v in got.items()} == want
     assert consistent_survivors(m.limit(0), ["run_id", "group_id"], "domain", c, [file]).count() == 0
     assert consistent_survivors(m, ["run_id", "group_id"], "domain", c.limit(0), [file]).count() == 0
+
+
+def test_ties_are_told_apart_by_later_bundles(small):
+    """Two records tie in the first bundle; only one has an agreeing candidate for the second."""
+    m = small.createDataFrame([(1, "a"), (1, "b"), (1, "c"), (None, "a")], "g int, domain string")
+    c = small.createDataFrame([("a", 5, "x", None), ("b", 5, "y", 3), ("c", 4, "z", 9)], "domain string, trust int, path string, score int")
+    path = Bundle("path", ["domain", "path"], [F.col("trust")])
+    score = Bundle("score", ["score"], [F.col("score")], F.col("score").isNotNull(), ["domain"])
+    got = {r.g: (r.domain, r.path, r.score) for r in consistent_survivors(m, ["g"], "domain", c, [path, score]).collect()}
+    assert got == {1: ("b", "y", 3), None: ("a", "x", None)}
