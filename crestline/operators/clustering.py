@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crestline.functions import fixed_values as V
 from crestline.operators.components import label_nodes, star_edges
@@ -45,7 +46,10 @@ def representatives(groups: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def cluster_domains(files: DataFrame, hashes: DataFrame, digests: DataFrame | None = None, k: int | None = None, gate: tuple[int, int, int] = V.GATE) -> DataFrame:
-    """(domain, component): phases 1, 2 and 4. ``hashes``: (domain, p, d); a group whose representative has no hash stays as it is."""
+    """(domain, component): phases 1, 2 and 4. ``hashes``: (domain, p, d); a group whose representative has no hash stays as it is.
+
+    With ``k``, the first field of ``ord`` must be a whole number that tells the representatives apart.
+    """
     exact = exact_groups(files, digests)
     reps = representatives(exact, files)
     known = reps.join(hashes.select("domain", "p", "d").dropna().dropDuplicates(["domain"]), "domain")
@@ -54,8 +58,9 @@ def cluster_domains(files: DataFrame, hashes: DataFrame, digests: DataFrame | No
         pairs = gate_pairs(nodes, "k", gate)
         merged = label_nodes(nodes, pairs.select(F.col("i").alias("src"), F.col("j").alias("dst")), "k")
     else:
-        # groups are numbered by their representative's place, as ties are broken by it
-        numbered = known.select("component", "p", F.dense_rank().over(W.orderBy("ord")).cast("long").alias("n"))
+        # groups go by their representative's place, as ties are broken by it; no ranking of all groups is needed for that
+        place = F.col(f"ord.{known.schema['ord'].dataType.names[0]}") if isinstance(known.schema["ord"].dataType, T.StructType) else F.col("ord")
+        numbered = known.select("component", "p", place.cast("long").alias("n"))
         found = single_linkage(numbered, k, "n", unhashed=reps.count() - known.count())
         names = numbered.select("n", "component")
         merged = found.join(names.select(F.col("n").alias("node"), F.col("component").alias("c")), "node").join(names.select(F.col("n").alias("component"), F.col("component").alias("m")), "component")

@@ -95,8 +95,20 @@ def page_candidates(spark, folder):
     return got.select("domain", "strategy", "url", "score")
 
 
+def json_props(spark, folder):
+    """Properties of events as variants: those that parse, with their number."""
+    doc = F.try_parse_json("props")
+    return table(spark, folder, "events").select("event_id", F.try_variant_get(doc, "$.k", "int").alias("k"), F.schema_of_variant(doc).startswith("OBJECT").alias("is_object"))
+
+
+def weekly_strategies(spark, folder):
+    """Records per strategy and week of extraction, each once."""
+    week = F.unix_seconds(F.date_trunc("week", "extracted_at")).alias("week")
+    return _once(spark, folder).groupBy(week, "source_strategy").agg(F.count(F.lit(1)).alias("n"))
+
+
 QUERIES = {f.__name__: f for f in (
-    candidate_dedup, candidate_best, candidate_top, fallback_candidates, extraction_totals, strategy_counts, file_type_counts, ok_and_failed, retry_routing, override_merge, page_candidates)}
+    json_props, weekly_strategies, candidate_dedup, candidate_best, candidate_top, fallback_candidates, extraction_totals, strategy_counts, file_type_counts, ok_and_failed, retry_routing, override_merge, page_candidates)}
 
 _C = """o AS (SELECT DISTINCT * EXCLUDE (loaded_at) FROM extraction_results),
   c AS (SELECT domain, logo_url AS url, coalesce(_best_score, 0) AS score, source_strategy AS strategy, result_id AS pos FROM o WHERE domain IS NOT NULL AND logo_url <> ''),
@@ -112,6 +124,8 @@ _CONTEXT = "concat_ws(' ', 'logo', p)"
 _IMG = f"""{' + '.join(f'({e})' for e in SCORES.values())} + 50 + 30 + 20 + 40
     - CASE WHEN {any_token(_CONTEXT, V.DEALER_WORDS)} THEN 20 ELSE 0 END - CASE WHEN {any_token(_CONTEXT, V.PARTNER_WORDS)} THEN 25 ELSE 0 END"""
 SQL = {
+    "json_props": "SELECT event_id, CAST(json_extract(props, '$.k') AS INT) AS k, json_type(props) = 'OBJECT' AS is_object FROM events",
+    "weekly_strategies": "SELECT CAST(epoch(date_trunc('week', extracted_at AT TIME ZONE 'UTC')) AS BIGINT) AS week, source_strategy, count(*) AS n FROM (SELECT DISTINCT * EXCLUDE (loaded_at) FROM extraction_results) GROUP BY 1, 2",
     "page_candidates": f"""WITH o AS (SELECT domain, arg_min(logo_url, result_id) AS url FROM extraction_results WHERE domain IS NOT NULL AND logo_url <> '' GROUP BY domain),
   u AS (SELECT domain, url, lower(url) AS l, regexp_extract(lower(url), '([^/]*)$', 1) AS f, lower(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)', 1)) AS p FROM o),
   v AS (SELECT * FROM u WHERE NOT {any_token('f', V.REJECT_FILENAME)} AND NOT {any_token('l', V.REJECT_ADDRESS)} AND NOT (contains(f, 'flag') AND NOT contains(f, 'logo')) AND NOT {any_token('l', V.THIRD_PARTY)})
