@@ -28,6 +28,7 @@ MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # any odd numbers do
 SWITCH = 14.0  # evidence, in n-grams, that a change of language has to bring
 LEAST_CHARS = 60
 PER_LANGUAGE = 300
+SAMPLE_CHARS = (200, 20_000)  # length of the documents that filters are fitted on; all lengths are classified
 STEP_CELLS = 1_000_000
 
 _BITS = np.array([[(m >> i) & 1 for i in range(8)] for m in range(256)], "uint8")
@@ -262,7 +263,7 @@ def classify(texts: list[str], filters: Filters, switch: float = SWITCH, least:
 def fit_filters(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int = PER_LANGUAGE) -> Filters:
     """Filters from at most ``per_language`` labelled documents of each language; wrong labels are found by a first fit and corrected for the second."""
     known = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), label_language(F.col(f"`{lang_col}`")).alias("lang"))
-    known = known.where(F.col("lang").isNotNull() & (F.length("text") >= 200)).withColumn("h", F.xxhash64("id"))
+    known = known.where(F.col("lang").isNotNull() & F.length("text").between(*SAMPLE_CHARS)).withColumn("h", F.xxhash64("id"))
     # only the hash and the identifier are ranked; the texts of the chosen documents follow by a join with a bounded side
     chosen = known.select("id", "lang", "h").withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy("h", "id"))).where(F.col("k") <= per_language).select("id")
     sample = known.join(F.broadcast(chosen), "id").select("id", "text", "lang").toArrow().sort_by("id")
