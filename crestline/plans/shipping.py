@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import io
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -26,6 +28,7 @@ def ship_package(spark: SparkSession) -> None:
     folder = tempfile.mkdtemp(prefix="crestline-source-")
     path = os.path.join(folder, "crestline.zip")
     Path(path).write_bytes(held.getvalue())
-    # copied by Spark at once into what it serves
+    # the driver serves this file for as long as it runs
+    atexit.register(shutil.rmtree, folder, True)
     spark.sparkContext.addPyFile(path)
     _SHIPPED.add(app)
