@@ -24,25 +24,31 @@ def _pack(bits: Column) -> Column:
     return F.aggregate(F.transform(bits, lambda b, i: F.when(b, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda acc, x: acc.bitwiseOR(x))
 
 
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once, not once per element that looks at it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def _doubles(block: Column) -> Column:
+    return F.transform(block, lambda v: v.cast("double"))
+
+
 def phash_bits(block: Column) -> Column:
     """Bit i: value i of an 8 x 8 block is above the median (mean of the two middle values, in double arithmetic)."""
-    x = F.transform(block, lambda v: v.cast("double"))
-    s = F.array_sort(x)
-    return _pack(F.transform(x, lambda v: v * 2 > F.element_at(s, 32) + F.element_at(s, 33)))
+    middle = lambda s: F.element_at(s, 32) + F.element_at(s, 33)
+    return _bound(_doubles(block), lambda x: _bound(F.array_sort(x), lambda s: _bound(middle(s), lambda m: _pack(F.transform(x, lambda v: v * 2 > m)))))
 
 
 def dhash_bits(block: Column) -> Column:
     """Bit i: the next value of the row, cyclically, is larger."""
-    x = F.transform(block, lambda v: v.cast("double"))
     nxt = lambda i: (F.floor(i / 8) * 8 + (i + 1) % 8).cast("int")
-    return _pack(F.transform(x, lambda v, i: F.get(x, nxt(i)) > v))
+    return _bound(_doubles(block), lambda x: _pack(F.transform(x, lambda v, i: F.get(x, nxt(i)) > v)))
 
 
 def ahash_bits(block: Column) -> Column:
     """Bit i: value i is above the mean."""
-    x = F.transform(block, lambda v: v.cast("double"))
-    mean = F.aggregate(x, F.lit(0.0), lambda a, v: a + v) / F.size(x)
-    return _pack(F.transform(x, lambda v: v > mean))
+    mean = lambda x: F.aggregate(x, F.lit(0.0), lambda a, v: a + v) / F.size(x)
+    return _bound(_doubles(block), lambda x: _bound(mean(x), lambda m: _pack(F.transform(x, lambda v: v > m))))
 
 
 def gate_pairs(hashes: DataFrame, key: str = "ord", t: tuple[int, int, int] = V.GATE) -> DataFrame:
@@ -53,7 +59,9 @@ def gate_pairs(hashes: DataFrame, key: str = "ord", t: tuple[int, int, int] = V.
     """
     radius = max(t[0], t[1])
     chunks = max(1, -(-(radius + 1) // 3))
-    rows = hashes.select(F.col(key).alias("k"), "p", "d").dropna().dropDuplicates(["k"])
+    # a row becomes up to a hundred entries or more: its own number of tasks, which adaptive execution leaves as it is
+    tasks = int(hashes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = hashes.select(F.col(key).alias("k"), "p", "d").dropna().repartition(tasks, "k").dropDuplicates(["k"])
     cuts = [(BITS * c // chunks, BITS * (c + 1) // chunks) for c in range(chunks)]
 
     def variants(c: int, a: int, b: int) -> Column:
@@ -65,6 +73,8 @@ def gate_pairs(hashes: DataFrame, key: str = "ord", t: tuple[int, int, int] = V.
     x, y = entries.alias("x"), entries.alias("y")
     pd, dd = distance(F.col("x.p"), F.col("y.p")), distance(F.col("x.d"), F.col("y.d"))
     hit = x.join(y, (F.col("x.c") == F.col("y.c")) & (F.col("x.v") == F.col("y.v")) & (F.col("x.k") < F.col("y.k")) & gate(pd, dd, t))
-    return hit.select(F.col("x.k").alias("i"), F.col("y.k").alias("j"), pd.alias("p_dist"), dd.alias("d_dist")).distinct()
+    # a generator keeps inferred filters out of the join's condition
+    pair = F.struct(F.col("x.k").alias("i"), F.col("y.k").alias("j"), pd.alias("p_dist"), dd.alias("d_dist"))
+    return hit.select(F.inline(F.array(pair))).distinct()
 
 
