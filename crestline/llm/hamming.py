@@ -120,7 +120,7 @@ def near_codes(nodes: DataFrame, tau: int, keep=None, hot: int = 20_000) -> Data
             cond = cond & keep(F.col("a.payload"), F.col("c.payload"))
         # a generator keeps what follows out of the join's condition
         hit = F.struct(F.col("a.seg").alias("seg"), F.col("a.turned").alias("ta"), F.col("a.payload").alias("pa"), F.col("c.turned").alias("tb"), F.col("c.payload").alias("pb"))
-        found = a.join(c, cond).select(F.inline(F.array(hit)))
+        found = a.join(c.hint("merge"), cond).select(F.inline(F.array(hit)))
         back = lambda t: F.coalesce(*(F.when(F.col("seg") == s, _rotated(F.col(t), BITS - s * width if s else 0)) for s in range(m)))
         found = found.select(F.struct(back("ta").alias("code"), F.col("pa").alias("payload")).alias("x"), F.struct(back("tb").alias("code"), F.col("pb").alias("payload")).alias("y"))
         found = found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).where("x <> y")
