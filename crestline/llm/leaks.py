@@ -8,6 +8,8 @@ lines of other columns into stretches. A document leaks an item if one or two st
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,9 +22,7 @@ RARE_ITEMS = 5  # a word is distinctive if no more items have it, or if it holds
 SHARD_CHARS = 3_000_000
 SHARE = 0.5
 LEAST_STRETCH = 7  # score of a stretch, about its equal words
-LEAST_CHAIN, CHAIN_SHARE = 3, 0.25  # distinctive words in a row that make a candidate: so many, and so much of the passage's, up to MOST_CHAIN
-MOST_CHAIN = 6
-LAGS, REACH, AWAY_WORDS = 10, 30, 14  # of which hits, how many words further on, and with how many words in between, one follows another
+KEPT = 1 / 3  # of the distinctive words in the stretches of a leak, so many are in unbroken phrases; the others may be misread or lost
 MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -109,6 +109,18 @@ class Words:
         return self.letters[self.letter_start[k] : self.letter_start[k + 1]].tobytes()
 
 
+def _least_marked(marked: np.ndarray, share: float) -> int:
+    """Least number of marked words in any one or two stretches that make up ``share`` of a passage."""
+    m, cum = len(marked), np.concatenate([[0], np.cumsum(marked)])
+    k = min(m, int(np.ceil(share * m - 1e-9)))
+    best = int((cum[k:] - cum[: m + 1 - k]).min())
+    for s in range(1, k):
+        before = np.minimum.accumulate(cum[s:] - cum[: m + 1 - s])  # of s words, up to each end
+        after = np.minimum.accumulate((cum[k - s :] - cum[: m + 1 - k + s])[::-1])[::-1]
+        best = min(best, int((before[: m + 1 - k] + after[s:]).min()))
+    return best
+
+
 class Passages:
     """What every task needs of the evaluation items: their words, numbered, and the phrases around distinctive ones."""
 
@@ -134,10 +146,14 @@ class Passages:
         grid = np.stack([self.number[at + k] for k in range(PHRASE)], axis=1) + 1 if len(at) else np.zeros((0, PHRASE), "int64")
         self.patterns, self.pattern_of = np.unique(grid, axis=0, return_inverse=True)
         self.pattern_of = self.pattern_of.reshape(-1)
-        # every place of a phrase, with the distinctive word it vouches for
+        # every place of a phrase; it vouches for its distinctive words
         self.places = at
-        self.vouches = np.array([next(a + k for k in range(PHRASE) if rare[a + k]) for a in at], "int64")
-        self.distinct = np.bincount(w.doc[np.unique(self.vouches)], minlength=len(ids))  # distinctive words of each item
+        self.rare = rare
+        self.rare_in = [rare[a:b] for a, b in zip(self.edge[:-1], self.edge[1:])]
+
+    def need(self, share: float) -> np.ndarray:
+        """Distinctive words that a leak of each passage shows at least, whichever part of the passage it is."""
+        return np.array([max(1, int(np.ceil(KEPT * _least_marked(x, share)))) for x in self.rare_in], "int64")
 
     def symbols(self, words: Words) -> np.ndarray:
         """Word numbers from 1 on; words that no passage has are spread over the numbers left."""
@@ -250,7 +266,7 @@ class Aligner:
 
 
 def align(passages: Passages, item: int, words: Words, numbers: np.ndarray, lo: int, hi: int, least: int = LEAST_STRETCH):
-    """(share of the passage covered by its best one or two stretches, their (first, end) words in the shard)."""
+    """(share of the passage covered by its best one or two stretches, their (first, end) words in the passages and in the shard)."""
     one = Aligner(passages, item, words, numbers, lo, hi)
     spans = sorted(one.stretches(least), key=lambda s: s[0] - s[1])[:12]
     best, got = 0, []
@@ -262,11 +278,14 @@ def align(passages: Passages, item: int, words: Words, numbers: np.ndarray, lo:
             cover = u[1] - u[0] + v[1] - max(u[1], v[0])
             if cover > best and v[1] > u[1] and min(u[3], v[3]) - max(u[2], v[2]) <= 2:
                 best, got = cover, [u, v]
-    return best / max(1, one.size), [(lo + s[2], lo + s[3]) for s in got]
+    return best / max(1, one.size), [(one.base + s[0], one.base + s[1], lo + s[2], lo + s[3]) for s in got]
 
 
-def candidates(passages: Passages, words: Words, numbers: np.ndarray, least: int = LEAST_CHAIN, share: float = CHAIN_SHARE, most: int = MOST_CHAIN) -> list[tuple[int, int]]:
-    """(document, item) with phrases around enough distinctive words that follow each other as in the passage, found in the shard's FM-index."""
+def candidates(passages: Passages, words: Words, numbers: np.ndarray, share: float = SHARE) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(document, item, words of the passage, words of the shard) of all that may leak: distinctive words in phrases found by the shard's FM-index.
+
+    ``vouched`` decides on the same words, after alignment; it would refuse all that is left out here.
+    """
     if not len(passages.patterns) or not len(numbers):
         return []
     index = FMIndex(numbers)
@@ -281,29 +300,52 @@ def candidates(passages: Passages, words: Words, numbers: np.ndarray, least: int
     order = np.argsort(passages.pattern_of, kind="stable")
     a = np.searchsorted(passages.pattern_of[order], pattern, "left")
     b = np.searchsorted(passages.pattern_of[order], pattern, "right")
-    place = order[np.repeat(a, b - a) + np.arange((b - a).sum()) - np.repeat(np.cumsum(b - a) - (b - a), b - a)]
+    place = passages.places[order[np.repeat(a, b - a) + np.arange((b - a).sum()) - np.repeat(np.cumsum(b - a) - (b - a), b - a)]]
     found = np.repeat(found, b - a)
-    vouch = passages.vouches[place]
-    spot = found + vouch - passages.places[place]  # where the distinctive word stands
-    pair = words.doc[found] * len(passages.ids) + passages.words.doc[vouch]
     # one hit per distinctive word and spot
-    by = np.lexsort((vouch, spot, pair))
-    pair, spot, vouch = pair[by], spot[by], vouch[by]
-    if not len(pair):
-        return []
-    new = np.concatenate([[True], (pair[1:] != pair[:-1]) | (spot[1:] != spot[:-1]) | (vouch[1:] != vouch[:-1])])
-    pair, spot, vouch = pair[new], spot[new], vouch[new]
-    length = np.ones(len(pair), "int8")
-    need = np.clip(np.round(share * passages.distinct), least, most).astype("int8")
-    for _ in range(most - 1):
-        longer = length.copy()
-        for lag in range(1, min(LAGS, len(pair) - 1) + 1):
-            di, dj = vouch[lag:] - vouch[:-lag], spot[lag:] - spot[:-lag]
-            follows = (pair[lag:] == pair[:-lag]) & (di > 0) & (di <= REACH) & (dj >= di - 4) & (dj <= 2 * di + AWAY_WORDS)
-            np.maximum(longer[lag:], np.where(follows, length[:-lag] + 1, 1), out=longer[lag:])
-        length = longer
-    hit = np.unique(pair[length >= need[pair % len(passages.ids)]])
-    return list(zip((hit // len(passages.ids)).tolist(), (hit % len(passages.ids)).tolist()))
+    hits = []
+    for k in range(PHRASE):
+        keep = passages.rare[place + k]
+        hits.append((found[keep] + k, place[keep] + k))
+    spot, word = (np.concatenate(x) for x in zip(*hits))
+    key = np.unique(spot * len(passages.rare) + word)
+    spot, word = key // len(passages.rare), key % len(passages.rare)
+    pair = words.doc[spot] * len(passages.ids) + passages.words.doc[word]
+    by = np.lexsort((-word, spot, pair))
+    pair, spot, word = pair[by], spot[by], word[by]
+    head = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]])) if len(pair) else np.zeros(0, "int64")
+    tail = np.append(head[1:], len(pair))
+    # different words of each pair, wherever they stand
+    several = np.unique(pair * len(passages.rare) + word) // len(passages.rare)
+    which, count = np.unique(several, return_counts=True)
+    out = []
+    for p, x, y in zip(which[keep := count >= passages.need(share)[which % len(passages.ids)]].tolist(), head[keep].tolist(), tail[keep].tolist()):
+        out.append((p // len(passages.ids), p % len(passages.ids), word[x:y], spot[x:y]))
+    return out
+
+
+def vouched(passages: Passages, word: np.ndarray, spot: np.ndarray, spans: list[tuple[int, int, int, int]]) -> bool:
+    """Whether the stretches hold KEPT of their distinctive words, in order, in unbroken phrases. By chance, template words match but names and numbers don't."""
+    held, of = set(), set()
+    for a, b, x, y in spans:
+        of |= set((a + np.flatnonzero(passages.rare[a:b])).tolist())
+        inside = (word >= a) & (word < b) & (spot >= x) & (spot < y)
+        held |= set(_ascending(word[inside].tolist()))
+    return len(held) >= KEPT * len(of)
+
+
+def _ascending(words: list[int]) -> list[int]:
+    """A longest ascending row of the words."""
+    ends, at, back = [], [], []
+    for k, v in enumerate(words):
+        i = bisect_left(ends, v)
+        ends[i : i + 1], at[i : i + 1] = [v], [k]
+        back.append(at[i - 1] if i else -1)
+    out, k = [], at[-1] if at else -1
+    while k >= 0:
+        out.append(words[k])
+        k = back[k]
+    return out
 
 
 def scan(passages: Passages, texts: list[str], share: float = SHARE):
@@ -312,11 +354,17 @@ def scan(passages: Passages, texts: list[str], share: float = SHARE):
     numbers = passages.symbols(words)
     edge = np.searchsorted(words.doc, np.arange(len(texts) + 1))
     out = []
-    for d, item in candidates(passages, words, numbers):
+    for d, item, word, spot in candidates(passages, words, numbers, share):
         cover, spans = align(passages, item, words, numbers, int(edge[d]), int(edge[d + 1]))
-        if cover >= share:
+        if cover < share:
+            continue
+        # where a second stretch met by chance spoils the first, that may do alone
+        size = int(passages.edge[item + 1] - passages.edge[item])
+        spans = next((x for x in [spans, *([s] for s in spans if s[1] - s[0] >= share * size)] if vouched(passages, word, spot, x)), None)
+        if spans:
+            cover = cover if len(spans) > 1 else (spans[0][1] - spans[0][0]) / size
             off = int(words.doc_start[d])
-            out.append((d, item, cover, [(int(words.first_char[a]) - off, int(words.end_char[b - 1]) - off) for a, b in spans]))
+            out.append((d, item, cover, [(int(words.first_char[a]) - off, int(words.end_char[b - 1]) - off) for *_, a, b in spans]))
     return out
 
 

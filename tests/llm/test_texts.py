@@ -128,6 +128,23 @@ def test_very_long_text_leaks():
     assert [(d, i) for d, i, *_ in got] == [(0, 3)]
 
 
+def test_two_far_quarters_with_misread_words_leak():
+    """No row of distinctive words is long in either stretch; both together are half of the passage."""
+    r = random.Random(11)
+    common, names = WORDS[:60], [f"xq{a}{b}" for a in ("bal", "dem", "fir", "gop", "huz") for b in ("kt", "mv")]
+    filler = [r.sample(common, 60) + r.sample(common, 20) for _ in range(8)]  # so that names alone are distinctive
+    item = [r.choice(common) for _ in range(80)]
+    for k, name in enumerate(names):
+        item[4 + 8 * k] = name
+    passages = Passages(list(range(9)), [" ".join(x) for x in [item, *filler]])
+    first, second = item[:20], item[47:71]
+    second[13] = "zzzz"  # a name beyond recognition
+    doc = "\n".join([page(r, first), page(r, [f"away{k}" for k in range(300)]), page(r, second)])
+    assert [(d, i) for d, i, *_ in scan(passages, [doc])] == [(0, 0)]
+    quarter = "\n".join([page(r, first), page(r, [f"away{k}" for k in range(300)])])
+    assert scan(passages, [quarter]) == []
+
+
 # ---- languages
 
 SAMPLES = {
