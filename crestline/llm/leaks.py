@@ -19,6 +19,8 @@ from crestline.llm.fmindex import FMIndex
 
 PHRASE = 3  # words of a phrase that is searched
 RARE_ITEMS = 5  # a word is distinctive if no more items have it, or if it holds a digit
+ALIKE_PHRASE = 5  # words of the phrases that tell passages that are nearly equal; these count as one item
+LEAST_MARKED = 1  # distinctive words that any half of a passage has at least, whatever the number of items that have them
 SHARD_CHARS = 3_000_000
 SHARE = 0.5
 LEAST_STRETCH = 7  # score of a stretch, about its equal words
@@ -133,9 +135,15 @@ class Passages:
             raise ValueError("too many different words in the items for one 16-bit alphabet: pass the items in parts")
         self.number = np.searchsorted(self.vocabulary, w.hash)
         items = np.zeros(len(self.vocabulary), "int64")
-        seen = np.unique(self.number.astype("int64") * max(1, len(ids)) + w.doc)
+        seen = np.unique(self.number.astype("int64") * max(1, len(ids)) + self._alike()[w.doc])
         np.add.at(items, seen // max(1, len(ids)), 1)
         rare = (items[self.number] <= RARE_ITEMS) | w.has_digit
+        for a, b in zip(self.edge[:-1], self.edge[1:]):
+            # where other items repeat a passage or it has few such words, the rarest it has are distinctive
+            for many in np.unique(items[self.number[a:b]]):
+                if _least_marked(rare[a:b], SHARE) >= LEAST_MARKED:
+                    break
+                rare[a:b] |= items[self.number[a:b]] <= many
         n = len(w.hash)
         at = np.arange(max(0, n - PHRASE + 1))
         inside = w.doc[at] == w.doc[at + PHRASE - 1] if len(at) else np.zeros(0, bool)
@@ -151,6 +159,26 @@ class Passages:
         self.rare = rare
         self.rare_in = [rare[a:b] for a, b in zip(self.edge[:-1], self.edge[1:])]
 
+    def _alike(self) -> np.ndarray:
+        """The first of the passages that are equal or nearly so, for each: half of the phrases in common, from one holder of a phrase to the next."""
+        w, n, group = self.words, len(self.number), np.arange(len(self.ids))
+        at = np.arange(max(0, n - ALIKE_PHRASE + 1))
+        at = at[w.doc[at] == w.doc[at + ALIKE_PHRASE - 1]] if len(at) else at
+        code = np.zeros(len(at), "uint64")
+        for k in range(ALIKE_PHRASE):
+            code = (code + self.number[at + k].astype("uint64") + np.uint64(1)) * MULT
+            code ^= code >> np.uint64(29)
+        by = np.lexsort((w.doc[at], code))
+        code, doc = code[by], w.doc[at][by]
+        same = (code[1:] == code[:-1]) & (doc[1:] != doc[:-1])
+        pair, shared = np.unique(doc[:-1][same] * max(1, len(self.ids)) + doc[1:][same], return_counts=True)
+        size = np.bincount(doc, minlength=len(self.ids))
+        for p, c in zip(pair.tolist(), shared.tolist()):
+            a, b = divmod(p, len(self.ids))
+            if 2 * c >= min(size[a], size[b]):
+                group[group == group[b]] = group[a]
+        return group
+
     def need(self, share: float) -> np.ndarray:
         """Distinctive words that a leak of each passage shows at least, whichever part of the passage it is."""
         return np.array([max(1, int(np.ceil(KEPT * _least_marked(x, share)))) for x in self.rare_in], "int64")

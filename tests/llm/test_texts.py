@@ -145,6 +145,15 @@ def test_two_far_quarters_with_misread_words_leak():
     assert scan(passages, [quarter]) == []
 
 
+def test_passage_of_many_items_is_found_for_all():
+    r = random.Random(12)
+    item = [r.choice(WORDS) for _ in range(80)]
+    near = [[*item[:k], "other", *item[k + 1 :]] for k in range(5, 40, 7)]
+    items = [item] * 7 + near + [[r.choice(WORDS) for _ in range(80)] for _ in range(3)]
+    doc = page(r, [*(f"away{k}" for k in range(50)), *item, *(f"away{k}" for k in range(50))])
+    assert [(d, i) for d, i, *_ in scan(Passages(list(range(len(items))), [" ".join(x) for x in items]), [doc])] == [(0, i) for i in range(7 + len(near))]
+
+
 # ---- languages
 
 SAMPLES = {
