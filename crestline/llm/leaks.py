@@ -296,16 +296,20 @@ class Aligner:
 def align(passages: Passages, item: int, words: Words, numbers: np.ndarray, lo: int, hi: int, least: int = LEAST_STRETCH):
     """(share of the passage covered by its best one or two stretches, their (first, end) words in the passages and in the shard)."""
     one = Aligner(passages, item, words, numbers, lo, hi)
-    spans = sorted(one.stretches(least), key=lambda s: s[0] - s[1])[:12]
-    best, got = 0, []
+    spans = sorted(one.stretches(least), key=lambda s: s[0] - s[1])
+    best, got = (spans[0][1] - spans[0][0], spans[:1]) if spans else (0, [])
+    # each stretch with all later ones at once: those that add words and don't overlap in the document by more than two
+    i0, i1, j0, j1 = np.array(spans).reshape(-1, 4).T
     for p, s in enumerate(spans):
-        if s[1] - s[0] > best:
-            best, got = s[1] - s[0], [s]
-        for t in spans[p + 1 :]:
-            u, v = (s, t) if s[0] <= t[0] else (t, s)
-            cover = u[1] - u[0] + v[1] - max(u[1], v[0])
-            if cover > best and v[1] > u[1] and min(u[3], v[3]) - max(u[2], v[2]) <= 2:
-                best, got = cover, [u, v]
+        if 2 * (s[1] - s[0]) <= best:
+            break
+        a, b, x, y = i0[p + 1 :], i1[p + 1 :], j0[p + 1 :], j1[p + 1 :]
+        adds = np.where(s[0] <= a, b > s[1], s[1] > b) & (np.minimum(s[3], y) - np.maximum(s[2], x) <= 2)
+        cover = np.where(adds, s[1] - s[0] + b - a - np.maximum(0, np.minimum(s[1], b) - np.maximum(s[0], a)), 0)
+        if len(cover) and cover.max() > best:
+            k = int(cover.argmax())
+            t = spans[p + 1 + k]
+            best, got = int(cover[k]), [s, t] if s[0] <= t[0] else [t, s]
     return best / max(1, one.size), [(one.base + s[0], one.base + s[1], lo + s[2], lo + s[3]) for s in got]
 
 

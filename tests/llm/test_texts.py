@@ -154,6 +154,17 @@ def test_passage_of_many_items_is_found_for_all():
     assert [(d, i) for d, i, *_ in scan(Passages(list(range(len(items))), [" ".join(x) for x in items]), [doc])] == [(0, i) for i in range(7 + len(near))]
 
 
+def test_short_second_stretch_after_many_longer_ones():
+    r = random.Random(13)
+    item = [f"{w}{k}" for k, w in enumerate(r.choice(WORDS) for _ in range(100))]
+    away = iter(f"away{k}" for k in range(10_000))
+    gap = lambda: page(r, [next(away) for _ in range(100)])
+    doc = "\n".join([gap(), *(x for _ in range(14) for x in (page(r, item[:42]), gap())), page(r, item[60:72]), gap()])
+    got = scan(Passages([0], [" ".join(item)]), [doc])
+    assert [(d, i, cover) for d, i, cover, _ in got] == [(0, 0, 0.54)]
+    assert [doc[a:b].split() for a, b in got[0][3]] == [item[:42], item[60:72]]
+
+
 # ---- languages
 
 SAMPLES = {
