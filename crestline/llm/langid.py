@@ -25,7 +25,7 @@ NAMES = {
 ORDERS = (3, 4, 5)
 LOG_SLOTS = 20
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # any odd numbers do
-SWITCH = 14.0  # evidence, in n-grams, that a change of language has to bring
+SWITCH = 5.0  # evidence, in n-grams, that a change of language has to bring; low, as 60 characters of close languages differ in few
 LEAST_CHARS = 60
 PER_LANGUAGE = 300
 SAMPLE_CHARS = (200, 20_000)  # length of the documents that filters are fitted on; all lengths are classified

@@ -204,6 +204,20 @@ def test_stretches(filters):
         assert [x[0] for x in short] == [a]
 
 
+def test_short_stretch_of_a_close_language():
+    """Most words of the stretch are of both languages."""
+    r = random.Random(4)
+    shared, own = ["terra", "campo", "porta", "ponte", "monte", "costa", "madera", "canto"], {"es": ["ayer", "niño"], "pt": ["ontem", "menino"]}
+    mix = lambda x, n: " ".join(r.choice(own[x]) if k % 5 == 0 else r.choice(shared) for k in range(n))
+    data = [(mix(x, 60), LANGS.index(x)) for x in ("es", "pt") for _ in range(20)]
+    close = Filters.fit([t for t, _ in data], [x for _, x in data])
+    inside = "ayer terra campo porta ponte monte costa madera canto terra campo niño"
+    parts = [mix("pt", 40) + " ontem", inside, "menino " + mix("pt", 40)]
+    got = classify(["\n".join(parts)], close)[0]
+    assert [x[0] for x in got] == ["pt", "es", "pt"]
+    assert (got[1][2], got[1][3]) == (len(parts[0]) + 1, len(parts[0]) + 1 + len(inside) + 1)
+
+
 def test_odd_texts(filters):
     got = classify(["", " \n", "123 — 4", "x" * 100_000, text_of(random.Random(1), "en", 40_000)], filters)
     assert got[:2] == [[], []] and got[2] == [(None, 0.0, 0, 7)] and len(got[3]) == 1 and [x[0] for x in got[4]] == ["en"]
