@@ -5,7 +5,8 @@ that contain an n-gram. Per-language popcounts, corrected for the filters' false
 segmentation, per stretch for the confidence.
 
 The filters are fitted on a sample of labelled rows, bounded by ``per_language`` documents of each language (those
-with the smallest hash of the identifier); every document is then classified, over its whole text.
+with the smallest hash of the identifier, of ``sample_chars`` characters, or nearest to that where a language has too few);
+every document is then classified, over its whole text.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # any odd numbers do
 SWITCH = 5.0  # evidence, in n-grams, that a change of language has to bring; low, as 60 characters of close languages differ in few
 LEAST_CHARS = 60
 PER_LANGUAGE = 300
-SAMPLE_CHARS = (200, 20_000)  # length of the documents that filters are fitted on; all lengths are classified
+SAMPLE_CHARS = (200, 20_000)  # length of the documents that filters are best fitted on; all lengths are classified
 STEP_CELLS = 1_000_000
 
 _BITS = np.array([[(m >> i) & 1 for i in range(8)] for m in range(256)], "uint8")
@@ -260,12 +261,16 @@ def classify(texts: list[str], filters: Filters, switch: float = SWITCH, least:
     return out
 
 
-def fit_filters(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int = PER_LANGUAGE) -> Filters:
-    """Filters from at most ``per_language`` labelled documents of each language; wrong labels are found by a first fit and corrected for the second."""
+def fit_filters(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int = PER_LANGUAGE, sample_chars: tuple[int, int] = SAMPLE_CHARS) -> Filters:
+    """Filters from at most ``per_language`` labelled documents of each language; wrong labels are found by a first fit and corrected for the second.
+
+    Documents of ``sample_chars`` (least, most) characters come first; where a language has too few, those nearest to that length follow.
+    """
     known = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), label_language(F.col(f"`{lang_col}`")).alias("lang"))
-    known = known.where(F.col("lang").isNotNull() & F.length("text").between(*SAMPLE_CHARS)).withColumn("h", F.xxhash64("id"))
+    size = F.length("text")
+    known = known.where(F.col("lang").isNotNull() & (F.length(F.trim("text")) > 0)).withColumn("h", F.xxhash64("id")).withColumn("off", F.greatest(F.lit(sample_chars[0]) - size, size - F.lit(sample_chars[1]), F.lit(0)))
     # only the hash and the identifier are ranked; the texts of the chosen documents follow by a join with a bounded side
-    chosen = known.select("id", "lang", "h").withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy("h", "id"))).where(F.col("k") <= per_language).select("id")
+    chosen = known.select("id", "lang", "off", "h").withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy("off", "h", "id"))).where(F.col("k") <= per_language).select("id")
     sample = known.join(F.broadcast(chosen), "id").select("id", "text", "lang").toArrow().sort_by("id")
     texts, langs = sample.column("text").to_pylist(), [LANGS.index(x) for x in sample.column("lang").to_pylist()]
     first = Filters.fit(texts, langs)

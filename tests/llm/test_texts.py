@@ -243,6 +243,15 @@ def test_language_operator(spark):
     assert language_stretches(df.limit(0), "doc_id", "text", fit_filters(df.limit(0), "doc_id", "text", "lang")).count() == 0
 
 
+def test_language_with_short_pages_only(spark):
+    r = random.Random(6)
+    rows = [(i, text_of(r, LANGS[i % 7], 3 if LANGS[i % 7] == "nl" else 30), LANGS[i % 7]) for i in range(210)]
+    assert all((len(t) < 200) == (x == "nl") for _, t, x in rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {x.id: x.lang for x in language_stretches(df, "doc_id", "text", fit_filters(df, "doc_id", "text", "lang", 40)).collect()}
+    assert got == {i: x for i, _, x in rows}
+
+
 # ---- packing
 
 def test_hilbert_neighbours():
