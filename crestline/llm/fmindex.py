@@ -91,7 +91,7 @@ class WaveletMatrix:
 
 
 class FMIndex:
-    def __init__(self, sym: np.ndarray, sample: int = 16):
+    def __init__(self, sym: np.ndarray, sample: int = 4):
         # an end mark smaller than all symbols makes the transform reversible
         self.sym_n = len(sym)
         text = np.concatenate([sym.astype("uint16"), np.zeros(1, "uint16")])

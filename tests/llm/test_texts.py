@@ -165,6 +165,59 @@ def test_short_second_stretch_after_many_longer_ones():
     assert [doc[a:b].split() for a, b in got[0][3]] == [item[:42], item[60:72]]
 
 
+def test_bound_loses_no_pair(monkeypatch):
+    """All candidates aligned give what those that reach the bound give."""
+    from crestline.llm import leaks as module
+
+    for seed in (7, 31, 32):
+        items, docs, _ = planted(seed, 48)
+        passages = Passages(list(range(len(items))), [" ".join(p) for p in items])
+        want = scan(passages, docs)
+        with monkeypatch.context() as m:
+            m.setattr(module, "_may_cover", lambda p, w, n, doc, item, share: np.ones(len(doc), bool))
+            assert scan(passages, docs) == want and want
+
+
+@pytest.mark.parametrize("times", [6, 20])
+def test_items_listed_many_times(times):
+    items, docs, truth = planted(41, 40)
+    texts = [" ".join(p) for p in items] * times
+    got = {(d, i) for d, i, *_ in scan(Passages(list(range(len(texts))), texts), docs)}
+    assert got == {(d, i + k * len(items)) for d, i in truth for k in range(times)}
+
+
+def test_passages_of_common_words():
+    """Different passages that share all their words, so that none is distinctive by itself."""
+    r = random.Random(14)
+    common = [f"{w}{k}"[::-1] for k, w in enumerate(WORDS[:300])] + WORDS[:150]
+    items = [[r.choice(common) for _ in range(80)] for _ in range(60)]
+    docs = [page(r, [*(r.choice(common) for _ in range(100)), *item, *(r.choice(common) for _ in range(100))]) for item in items]
+    docs += [page(r, [r.choice(common) for _ in range(300)]) for _ in range(60)]
+    got = {(d, i) for d, i, *_ in scan(Passages(list(range(60)), [" ".join(x) for x in items]), docs)}
+    assert got == {(k, k) for k in range(60)}
+
+
+def test_other_scripts():
+    text = "Капитан порта нашёл пропавшие книги у вокзала вчера вечером и никто в деревне не знает причины этого странного дела которое случилось"
+    greek = "Ο λιμενάρχης βρήκε τα χαμένα βιβλία κοντά στον σταθμό και κανείς στο χωριό δεν γνωρίζει τον λόγο για όλα αυτά που συνέβησαν χθες"
+    passages = Passages([1, 2], [text, greek])
+    assert [(d, i) for d, i, *_ in scan(passages, ["слово " * 30 + text.upper(), "x", greek + " λέξη" * 20])] == [(0, 0), (2, 1)]
+
+
+def test_items_in_parts(spark, monkeypatch):
+    from crestline.llm import leaks as module
+
+    items, docs, truth = planted(51, 24)
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    it = spark.createDataFrame([(i, " ".join(p)) for i, p in enumerate(items)] * 2, "item_id long, passage string").distinct()
+    monkeypatch.setattr(module, "PART_CHARS", 2000)
+    assert {(r.id, r.item) for r in leaked_items(df, "doc_id", "text", it, "item_id", "passage").collect()} == truth
+    assert len(module._alphabets(list(range(12)), [" ".join(p) for p in items])) == 1
+    monkeypatch.setattr(module, "PART_WORDS", 200)
+    halves = module._alphabets(list(range(12)), [" ".join(p) for p in items])
+    assert len(halves) > 1 and {(d, h.ids[i]) for h in halves for d, i, *_ in scan(h, docs)} == truth
+
+
 # ---- languages
 
 SAMPLES = {
