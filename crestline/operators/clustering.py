@@ -10,7 +10,10 @@ from pyspark.sql import types as T
 from crestline.functions import fixed_values as V
 from crestline.operators.components import label_nodes, star_edges
 from crestline.operators.linkage import single_linkage
-from crestline.operators.similarity import gate_pairs
+from crestline.operators.joins import spread_join
+from crestline.operators.ranks import numbered
+from crestline.operators.similarity import similar_groups
+from crestline.plans.scratch import Scratch
 
 CLUSTERS = (
     "total_domains int, total_groups int, multi_groups int, singletons int, failed_domains array<string>, "
@@ -41,32 +44,34 @@ def exact_groups(files: DataFrame, digests: DataFrame | None = None) -> DataFram
 
 def representatives(groups: DataFrame, files: DataFrame) -> DataFrame:
     """(component, domain, ord): the first member of every group that has a file."""
-    first = F.min_by("domain", "ord")
-    return groups.join(files, "domain").where("path <> ''").groupBy("component").agg(first.alias("domain"), F.min("ord").alias("ord"))
+    held = F.min(F.struct("ord", "domain"))
+    return groups.join(files, "domain").where("path <> ''").groupBy("component").agg(held.alias("r")).select("component", "r.domain", "r.ord")
 
 
 def cluster_domains(files: DataFrame, hashes: DataFrame, digests: DataFrame | None = None, k: int | None = None, gate: tuple[int, int, int] = V.GATE) -> DataFrame:
-    """(domain, component): phases 1, 2 and 4. ``hashes``: (domain, p, d); a group whose representative has no hash stays as it is.
+    """(domain, component): phases 1, 2 and 4. ``hashes``: (domain, p, d) and maybe ord, by which the first of several hashes of
+    a domain counts (else the least); a group whose representative has no hash stays as it is.
 
     With ``k``, the first field of ``ord`` must be a whole number that tells the representatives apart.
     """
-    exact = exact_groups(files, digests)
-    reps = representatives(exact, files)
-    known = reps.join(hashes.select("domain", "p", "d").dropna().dropDuplicates(["domain"]), "domain")
-    nodes = known.select(F.col("component").alias("k"), "p", "d")
+    cut = Scratch(files.sparkSession, "clusters")
+    exact = cut.cut(exact_groups(files, digests))
+    reps = cut.cut(representatives(exact, files))
+    order = ["ord"] if "ord" in hashes.columns else []
+    own = hashes.where("domain is not null and p is not null and d is not null").groupBy("domain").agg(F.min(F.struct(*order, "p", "d")).alias("h")).select("domain", "h.p", "h.d")
+    known = cut.cut(reps.join(own, "domain"))
     if k is None:
-        pairs = gate_pairs(nodes, "k", gate)
-        merged = label_nodes(nodes, pairs.select(F.col("i").alias("src"), F.col("j").alias("dst")), "k")
+        merged = similar_groups(known.select("component", "p", "d"), "component", gate)
     else:
         # groups go by their representative's place, as ties are broken by it; no ranking of all groups is needed for that
         place = F.col(f"ord.{known.schema['ord'].dataType.names[0]}") if isinstance(known.schema["ord"].dataType, T.StructType) else F.col("ord")
-        numbered = known.select("component", "p", place.cast("long").alias("n"))
-        found = single_linkage(numbered, k, "n", unhashed=reps.count() - known.count())
-        names = numbered.select("n", "component")
-        merged = found.join(names.select(F.col("n").alias("node"), F.col("component").alias("c")), "node").join(names.select(F.col("n").alias("component"), F.col("component").alias("m")), "component")
+        named = known.select("component", "p", place.cast("long").alias("n"))
+        found = single_linkage(named, k, "n", unhashed=reps.count() - known.count())
+        names = named.select("n", "component")
+        merged = spread_join(cut.cut(found.join(names.select(F.col("n").alias("node"), F.col("component").alias("c")), "node")), names.select(F.col("n").alias("component"), F.col("component").alias("m")), ["component"])
         merged = merged.select(F.col("c").alias("node"), F.col("m").alias("component"))
-    merged = merged.select(F.col("node").alias("old"), F.col("component").alias("new"))
-    return exact.join(merged, F.col("component") == F.col("old"), "left").select("domain", F.coalesce("new", "component").alias("component"))
+    # what a component becomes; the domains of a giant one stay where they are
+    return spread_join(exact, merged.select(F.col("node").alias("component"), F.col("component").alias("new")), ["component"], "left").select("domain", F.coalesce("new", "component").alias("component"))
 
 
 def group_stats(labels: DataFrame, node: str = "domain") -> DataFrame:
@@ -77,19 +82,18 @@ def group_stats(labels: DataFrame, node: str = "domain") -> DataFrame:
 def ranked_groups(labels: DataFrame, node: str = "domain") -> DataFrame:
     """Groups by size, then first member; ``group_id`` from 1.
 
-    Ids come from counts per size and a rank within the size, so no task sorts all groups unless all have one size.
+    Places come from a range sort and counts per range: no task sees all groups, nor all of one size.
     """
-    stats = group_stats(labels, node)
-    sizes = stats.groupBy("size").agg(F.count(F.lit(1)).alias("n"))
-    # one row per distinct group size
-    before = sizes.withColumn("before", F.coalesce(F.sum("n").over(W.orderBy(F.desc("size")).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("size", "before")
-    within = F.row_number().over(W.partitionBy("size").orderBy("first_node"))
-    return stats.join(before, "size").select((F.col("before") + within).cast("int").alias("group_id"), "component", "size", "first_node")
+    placed = numbered(group_stats(labels, node), [F.desc("size"), F.col("first_node")], "group_id")
+    return placed.select(F.col("group_id").cast("int").alias("group_id"), "component", "size", "first_node")
 
 
 def group_members(labels: DataFrame, node: str = "domain") -> DataFrame:
-    """Members of the groups in order."""
-    return labels.groupBy("component").agg(F.array_sort(F.collect_list(node)).alias("domains"))
+    """(component, place, member): members of the groups in order, from 1, a row each, so a giant group is many rows in many tasks."""
+    cut = Scratch(labels.sparkSession, "members")
+    rows = cut.cut(numbered(labels.select("component", F.col(node).alias("member")), ["component", "member"], "at"))
+    first = rows.groupBy("component").agg(F.min("at").alias("first"))
+    return spread_join(rows, first, ["component"]).select("component", (F.col("at") - F.col("first") + 1).cast("int").alias("place"), "member")
 
 
 def size_bucket(size: Column) -> Column:
@@ -114,18 +118,30 @@ def summary(labels: DataFrame, node: str = "domain") -> DataFrame:
 
 def preview(labels: DataFrame, node: str = "domain", groups: int = 25, names: int = 6) -> DataFrame:
     """The largest groups with their first members."""
-    top = ranked_groups(labels, node).orderBy("group_id").limit(groups)
-    held = top.join(group_members(labels, node), "component")
+    top = group_stats(labels, node).orderBy(F.desc("size"), "first_node").limit(groups)
+    # ranked among themselves: ``groups`` rows
+    top = top.withColumn("group_id", F.row_number().over(W.orderBy(F.desc("size"), "first_node")))
+    held = labels.join(F.broadcast(top), "component").select("group_id", "size", F.col(node).alias("m"))
+    # a rank that is limited before the shuffle as well: a giant group leaves ``names`` rows a task
+    place = F.row_number().over(W.partitionBy("group_id", "size").orderBy("m"))
+    least = held.withColumn("__k", place).where(F.col("__k") <= names).groupBy("group_id", "size").agg(F.array_sort(F.collect_list("m")).alias("__first"))
     more = F.when(F.col("size") > names, F.concat(F.lit("... +"), (F.col("size") - names).cast("string")))
-    return held.select("group_id", "size", F.concat_ws(", ", F.slice("domains", 1, names), more).alias("members"))
+    return least.select("group_id", "size", F.concat_ws(", ", "__first", more).alias("members"))
+
+
+def group_rows(labels: DataFrame, files: DataFrame) -> DataFrame:
+    """What the document of a run holds, as rows: (group_id, count, representative_logo, place, domain), one per member."""
+    first_file = labels.join(files.where("path <> ''"), "domain").groupBy("component").agg(F.min(F.struct("ord", "path")).getField("path").alias("representative_logo"))
+    heads = ranked_groups(labels).join(first_file, "component", "left").select("component", "group_id", F.col("size").alias("count"), "representative_logo")
+    cut = Scratch(labels.sparkSession, "rows")
+    return spread_join(cut.cut(group_members(labels)), cut.cut(heads), ["component"]).select("group_id", "count", "representative_logo", "place", F.col("member").alias("domain"))
 
 
 def cluster_document(labels: DataFrame, files: DataFrame, failed: DataFrame, k: int | None = None, gate: tuple[int, int, int] = V.GATE, time_s: float = 0.0) -> DataFrame:
-    """The one nested document of a run. It holds all domains by definition; the rows are in ``ranked_groups`` for anything larger."""
-    first_file = labels.join(files.where("path <> ''"), "domain").groupBy("component").agg(F.min_by("path", "ord").alias("representative_logo"))
-    rows = ranked_groups(labels).join(group_members(labels), "component").join(first_file, "component", "left")
-    group = F.struct("group_id", F.col("size").alias("count"), "domains", "representative_logo")
-    doc = rows.agg(F.array_sort(F.collect_list(group)).alias("groups"))
+    """The one nested document of a run. It holds all domains by definition; ``group_rows`` has the same for anything larger."""
+    members = F.transform(F.array_sort(F.collect_list(F.struct("place", "domain"))), lambda m: m["domain"])
+    groups = group_rows(labels, files).groupBy("group_id", "count", "representative_logo").agg(members.alias("domains"))
+    doc = groups.agg(F.array_sort(F.collect_list(F.struct("group_id", "count", "domains", "representative_logo"))).alias("groups"))
     bad = failed.agg(F.array_sort(F.collect_list("domain")).alias("failed_domains"))
     params = F.struct(*(F.lit(v).cast("int").alias(n) for n, v in zip(("hash_size", "norm_size", "t1_phash", "t2_phash", "t2_dhash", "k_clusters"), (V.HASH_SIDE, V.NORM_SIDE, *gate, k))))
     stats = summary(labels)

@@ -12,7 +12,9 @@ from crestline.operators.clustering import cluster_document, cluster_domains, ex
 from crestline.operators.components import connected_components, label_nodes, star_edges
 from crestline.operators.linkage import minimum_forest, single_linkage
 from crestline.operators.report import file_types, strategy_histogram, totals
-from crestline.operators.similarity import gate, gate_pairs
+from crestline.operators.joins import spread_join
+from crestline.operators.ranks import numbered
+from crestline.operators.similarity import gate, gate_pairs, hash_classes, similar_groups
 from crestline.sources.sinks import results_document, write_cluster_document, write_cluster_files, write_files, write_results
 from crestline.sources.tables import LOGO_RESULT, read_domains, read_files, read_images, read_results
 
@@ -60,11 +62,69 @@ def test_gate_cases(spark):
 @pytest.mark.parametrize("t", [(10, 12, 10), (18, 20, 20), (0, 0, 0)])
 def test_gate_pairs_equal_brute_force(spark, t):
     rows = near_rows()
-    got = {(r.i, r.j) for r in gate_pairs(spark.createDataFrame(rows + rows[:5] + [(99, None, 1)], HASH), "ord", t).collect()}
+    df = spark.createDataFrame(rows + rows[:5] + [(99, None, 1)], HASH)
+    members = {}
+    for r in hash_classes(df).collect():
+        members.setdefault(r["class"], []).append(r.k)
+    got = {tuple(sorted((a, b))) for r in gate_pairs(df, "ord", t).collect() for a in members[r.i] for b in members[r.j]}
+    got |= {pair for m in members.values() for pair in itertools.combinations(sorted(m), 2)}
     want = {(a[0], b[0]) for a, b in itertools.combinations(rows, 2) if dist(a[1], b[1]) <= t[0] or (dist(a[1], b[1]) <= t[1] and dist(a[2], b[2]) <= t[2])}
     assert got == want
 
 
+def test_copies_are_one_member_of_pairs(small):
+    """Equal hashes are joined by their class, in blocks where they are many."""
+    rows = [(k, 5, 1) for k in range(3000)] + [(5000 + k, 5 ^ (1 << (k % 60)), k) for k in range(300)] + [(9000, None, 1), (None, 5, 1)]
+    df = small.createDataFrame(rows, HASH)
+    heads = {}
+    for k, p, d in rows:
+        if k is not None and p is not None:
+            heads[p, d] = min(k, heads.get((p, d), k))
+    want = {tuple(sorted((a, b))) for (p, d), a in heads.items() for (q, e), b in heads.items() if a < b and (dist(p, q) <= 10)}
+    assert {(r.i, r.j) for r in gate_pairs(df, hot=50).collect()} == want
+    assert {(r.k, r["class"]) for r in hash_classes(df).collect()} == {(k, heads[p, d]) for k, p, d in rows if k is not None and p is not None}
+    assert {(r.node, r.component) for r in similar_groups(df, hot=50).collect()} == {(k, 0) for k, p, d in rows if k is not None and p is not None}
+    assert similar_groups(df.limit(0)).count() == 0
+
+
+def test_similar_groups_equal_brute_force(small):
+    rows = near_rows(120, 11)
+    edges = [(a[0], b[0]) for a, b in itertools.combinations(rows, 2) if dist(a[1], b[1]) <= 10 or (dist(a[1], b[1]) <= 12 and dist(a[2], b[2]) <= 10)]
+    want = brute_components([r[0] for r in rows], edges)
+    for hot in (3, 20_000):
+        assert {r.node: r.component for r in similar_groups(small.createDataFrame(rows + rows[:9], HASH), hot=hot).collect()} == want
+
+
+def test_hot_keys_are_spread(small):
+    rows = small.createDataFrame([(None if k % 50 == 0 else "hot" if k % 3 else f"k{k}", k) for k in range(1000)], "key string, n long")
+    table = rows.where("key is not null").groupBy("key").agg(F.min("n").alias("least"))
+    for how in ("inner", "left"):
+        want = sorted(map(str, rows.join(table, "key", how).collect()))
+        assert sorted(map(str, spread_join(rows, table, ["key"], how, hot=100).collect())) == want
+        assert sorted(map(str, spread_join(rows, table, ["key"], how).collect())) == want
+    plan = spread_join(rows, table, ["key"], hot=100)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "broadcast" in plan
+
+
+def test_hub_and_giant_group_with_hot_keys(small):
+    """A hub of many leaves, and a chain into it: its neighbours are hot in every round."""
+    edges = [(0, k) for k in range(1, 2000)] + [(2000 + k, 2001 + k) for k in range(20)] + [(2000, 1999), (5000, 5001)]
+    df = small.createDataFrame([(a + 3, b + 3) for a, b in edges] + [(1999 + 3, 1)], "src long, dst long")
+    got = {r.node: r.component for r in connected_components(df, hot=100).collect()}
+    assert len(got) == 2000 + 21 + 2 + 1 and {v for k, v in got.items() if k < 5000} == {1} and got[5004] == 5003
+    stars = small.createDataFrame([("u", k, k % 7) for k in range(500)] + [(None, 900, 1), ("v", 901, 1)], "key string, node long, o long")
+    assert {(r.src, r.dst) for r in star_edges(stars, "key", "node", "o", hot=100).collect()} == {(0, k) for k in range(1, 500)}
+
+
+def test_numbered_is_a_total_order(small):
+    r = random.Random(4)
+    rows = [(r.randrange(5), k) for k in range(500)]
+    df = small.createDataFrame(rows, "size int, k long").repartition(7)
+    got = numbered(df, [F.desc("size"), F.col("k")], "at").orderBy("at").collect()
+    assert [(x["size"], x.k, x["at"]) for x in got] == [(s, k, i + 1) for i, (s, k) in enumerate(sorted(rows, key=lambda x: (-x[0], x[1])))]
+    assert numbered(df.limit(0), ["k"], "at").count() == 0
+
+
 def test_components_of_shapes(small):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 101 + i) for i in range(30)] + [(200, 201), (201, 202), (202, 200)] + [(7, 7), (None, 3), (300, 300)]
     df = small.createDataFrame(edges, "src long, dst long")
@@ -106,6 +166,10 @@ def test_single_linkage_is_kruskal(small):
     rows = near_rows(40, 9)
     df = small.createDataFrame(rows, HASH)
     assert minimum_forest(df, block_rows=8).count() == 39
+    # rows with equal p hang on the least of them
+    twins = [(-3, rows[1][1], 2), *rows, *((100 + k, rows[0][1], 1) for k in range(5))]
+    for k in (1, 4, 30, 42):
+        assert {r.node: r.component for r in single_linkage(small.createDataFrame(twins, HASH), k).collect()} == brute_linkage(twins, k), k
     for k in (0, 1, 5, 17, 40, 60):
         got = {r.node: r.component for r in single_linkage(df, k).collect()}
         assert got == brute_linkage(rows, k), k
@@ -153,7 +217,7 @@ def test_reports(small, tmp_path):
     assert row.failed_domains == ["y", "z"] and row.parameters.k_clusters == 4 and row.groups[0].representative_logo == "p0.png" and [g["count"] for g in row.groups] == [8, 2, 1, 1]
     write_cluster_document(doc, str(tmp_path / "doc"))
     assert small.read.json(str(tmp_path / "doc")).first().total_domains == 12
-    write_cluster_files(ranked_groups(labels).join(group_members(labels), "component").select("group_id", F.explode("domains").alias("path")), str(tmp_path / "files"))
+    write_cluster_files(ranked_groups(labels).join(group_members(labels), "component").select("group_id", F.col("member").alias("path")), str(tmp_path / "files"))
     assert small.read.parquet(str(tmp_path / "files")).where("group_id = 2").count() == 2
 
 
