@@ -62,10 +62,14 @@ CAPTCHA_CHARS = 5000
 
 # fixed values: vector images
 WHITE_FILLS = ["#fff", "#ffffff", "white", "rgb(255,255,255)"]
+BLACK = "#000000"
 WHITE_SPELLINGS = ["#fff", "#ffffff", "#FFF", "#FFFFFF", "white"]
 LEAST_VIEWBOX = 20
 LEAST_SVG_CHARS = 200
 
+# fixed values: schemes whose relative addresses are merged with their base
+MERGED_SCHEMES = ["", "http", "https", "ftp", "file", "ws", "wss"]
+
 # fixed values: files
 LEAST_BYTES, LEAST_LOGO_BYTES, LEAST_DATA_URI_BYTES, MOST_BYTES = 200, 500, 400, 250_000
 MOST_WIDTH, MOST_HEIGHT = 800, 400
@@ -75,6 +79,11 @@ WEAK_ALWAYS = "meta_tag css_background".split()
 SPARES = 6
 CONTENT_TYPES = {"svg": ".svg", "png": ".png", "jpeg": ".jpg", "jpg": ".jpg", "gif": ".gif", "webp": ".webp", "x-icon": ".ico", "ico": ".ico"}
 CONTENT_TYPES_CURL = {k: v for k, v in CONTENT_TYPES.items() if k in ("svg", "png", "jpeg", "gif", "webp")}
+CONTENT_TYPES_ICON = {"png": ".png", "ico": ".ico", "svg": ".svg", "jpeg": ".jpg", "jpg": ".jpg"}
+CONTENT_TYPES_BROWSER = {"svg": ".svg", "jpeg": ".jpg", "jpg": ".jpg", "webp": ".webp", "gif": ".gif", "ico": ".ico"}
+CONTENT_TYPES_OF = {"http": CONTENT_TYPES, "curl": CONTENT_TYPES_CURL, "icon": CONTENT_TYPES_ICON, "browser": CONTENT_TYPES_BROWSER}
+CONTENT_DEFAULT = {"icon": ".png", "browser": ".png"}
+BROWSER_LEAST_SVG = 100
 
 # fixed values: order of the sources of candidates, and scores of those that are not pages
 STRATEGY_ORDER = """json_ld link_tag meta_tag img_tag svg_fallback css_background manifest favicon_direct wp_json_logo wp_json_icon clearbit
@@ -84,6 +93,7 @@ SOURCE_SCORES = {"favicon_direct": 30, "wp_json_logo": 90, "wp_json_icon": 60, "
 # fixed values: fetching
 FETCH_STATUSES = [403, 404, 406, 451, 503]
 FETCH_LEAST_CHARS, FETCH_HEAD = 2000, 200
+FETCH_ATTEMPTS, FETCH_SCHEMES = 3, ["https", "http"]
 USER_AGENTS = 3
 
 # fixed values: image hashes

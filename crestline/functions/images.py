@@ -5,8 +5,10 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from crestline.functions import fixed_values as V
+from crestline.functions.svg import render_ready
 
 HASHES = "path string, p long, d long, a long"
 
@@ -107,3 +109,28 @@ def hash_images(images: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["path", "p", "d", "a"]).astype({c: "Int64" for c in "pda"})
 
     return images.select("path", "data", "height", "width", "channels").mapInPandas(run, HASHES)
+
+
+def hash_drawings(files: DataFrame, render) -> DataFrame:
+    """(path, p, d, a) of vector images (path, content) by a renderer that is handed in, as none is at hand here.
+
+    ``render(markup) -> (data, height, width, channels)`` or None, with bytes in the order of the image source. It gets the markup
+    made ready for it (P10) and, if it fails on that, the markup as it was. What can't be drawn has null hashes.
+    """
+    def drawn(*markups):
+        for m in markups:
+            try:
+                got = render(m) if m is not None else None
+            except Exception:
+                continue
+            if got is not None:
+                return hash_image(*got)
+        return None, None, None
+
+    def run(batches):
+        for pdf in batches:
+            rows = [(p, *drawn(r, s)) for p, r, s in zip(pdf["path"], pdf["ready"], pdf["markup"])]
+            yield pd.DataFrame(rows, columns=["path", "p", "d", "a"]).astype({c: "Int64" for c in "pda"})
+
+    text = files.select("path", F.try_validate_utf8(F.col("content").cast("string")).alias("markup"))
+    return text.select("path", render_ready(F.col("markup")).alias("ready"), "markup").mapInPandas(run, HASHES)

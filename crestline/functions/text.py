@@ -43,6 +43,11 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
+def bound(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once and stands once in the plan, however often ``body`` looks at it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def computed(df: DataFrame, **columns: Column) -> DataFrame:
     """Adds columns behind a generator, which filters are not pushed through: long expressions are evaluated once, not once per use."""
     row = F.array(F.struct(*(c.alias(n) for n, c in columns.items())))

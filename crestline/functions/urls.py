@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-from urllib.parse import urljoin
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from crestline.functions import fixed_values as V
-from crestline.functions.text import blank_to_null, has, has_any, low, text_or_empty
+from crestline.functions.text import blank_to_null, bound, has, has_any, low, text_or_empty
 
 _PARTS = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)"
 
@@ -54,17 +50,6 @@ def is_valid_image(url: Column) -> Column:
     return (whole != "") & ~has_any(name, V.REJECT_FILENAME) & ~has_any(whole, V.REJECT_ADDRESS) & ~flag & ~has_any(whole, V.THIRD_PARTY)
 
 
-@F.pandas_udf(T.StringType())
-def _join(url: pd.Series, base: pd.Series) -> pd.Series:
-    def one(u, b):
-        try:
-            return urljoin(b or "", u) if u is not None else None
-        except ValueError:
-            return None
-
-    return pd.Series([one(u, b) for u, b in zip(url, base)], dtype=object)
-
-
 _STRIP = r"^[\s\x1c-\x1f\x85\xa0]+|[\s\x1c-\x1f\x85\xa0]+$"
 
 
@@ -73,28 +58,75 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, _STRIP, "")
 
 
+_WHOLE = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(//([^/?#]*))?([^?#]*?)(;[^/?#;]*(?:;[^/?#]*)?)?(\?[^#]*)?(#.*)?$"
+
+
+def _parts(text: Column) -> Column:
+    """Scheme, host with its slashes, host, path, parameters, query and fragment of an address, as browsers clean it."""
+    clean = F.regexp_replace(F.regexp_replace(text, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
+    names = ["scheme", "slashes", "host", "path", "params", "query", "fragment"]
+    return bound(clean, lambda c: F.struct(*((F.lower(F.regexp_extract(c, _WHOLE, k)) if k == 1 else F.regexp_extract(c, _WHOLE, k)).alias(n) for k, n in enumerate(names, 1))))
+
+
+def _none() -> Column:
+    return F.array().cast("array<string>")
+
+
+def _steps(path: Column, base: Column) -> Column:
+    """A path on top of its base's folder (RFC 3986): empty steps inside are dropped unless the path is rooted, dots are resolved."""
+    # the last step of the base is no folder; an empty one stays, so that what follows is rooted
+    folder = bound(F.split(base, "/", -1), lambda b: F.when(F.element_at(b, -1) != "", F.slice(b, F.lit(1), F.size(b) - 1)).otherwise(b))
+    inner = lambda x: F.filter(x, lambda step, k: (step != "") | (k == 0) | (k == F.size(x) - 1))
+    every = F.when(path.startswith("/"), F.split(path, "/", -1)).otherwise(bound(F.concat(folder, F.split(path, "/", -1)), inner))
+    back = lambda held: F.slice(held, F.lit(1), F.greatest(F.size(held) - 1, F.lit(0)))
+    walk = lambda steps: F.aggregate(steps, _none(), lambda held, x: F.when(x == "..", back(held)).when(x == ".", held).otherwise(F.concat(held, F.array(x))))
+    end = lambda steps: F.when(F.element_at(steps, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(_none())
+    return bound(bound(every, lambda steps: F.array_join(F.concat(walk(steps), end(steps)), "/")), lambda out: F.when(out == "", "/").otherwise(out))
+
+
+def _merged(ref: Column, root: Column, url: Column) -> Column:
+    alone, bare = ref["host"] != "", (ref["path"] == "") & (ref["params"] == "")
+    same = bare & ~alone
+    full = lambda c: F.when(F.length(c) > 1, c).otherwise("")
+    path = F.when(alone, ref["path"]).when(bare, root["path"]).otherwise(_steps(ref["path"], root["path"]))
+    host = F.when(alone, ref["host"]).otherwise(root["host"])
+    tail = F.concat(
+        F.when(same, full(root["params"])).otherwise(full(ref["params"])),
+        F.when(same & (full(ref["query"]) == ""), full(root["query"])).otherwise(full(ref["query"])), full(ref["fragment"]))
+
+    def whole(v: Column) -> Column:
+        slash = F.when((v["host"] != "") & (v["path"] != "") & ~v["path"].startswith("/"), "/").otherwise("")
+        return F.concat(F.when(v["host"] != "", F.concat(F.lit("//"), v["host"])).otherwise(""), slash, v["path"])
+
+    merged = F.concat(F.when(root["scheme"] != "", F.concat(root["scheme"], F.lit(":"))).otherwise(""), bound(F.struct(host.alias("host"), path.alias("path")), whole), tail)
+    foreign = ((ref["scheme"] != "") & (ref["scheme"] != root["scheme"])) | ~root["scheme"].isin(*V.MERGED_SCHEMES)
+    odd = lambda h: F.contains(h, F.lit("[")) != F.contains(h, F.lit("]"))
+    return F.when(odd(ref["host"]), F.lit(None)).when(foreign, url).when(~odd(host), merged)
+
+
+def merge_url(url: Column, base: Column) -> Column:
+    """A reference resolved against its base, all in Spark expressions. Without a base the reference stays, without a reference the base;
+    references of another scheme stay as they are. Null for hosts in broken brackets, and for a null reference."""
+    both = F.struct(_parts(url).alias("ref"), _parts(base).alias("root"))
+    return F.when(url.isNull(), F.lit(None)).when(text_or_empty(base) == "", url).when(url == "", base).otherwise(bound(both, lambda v: _merged(v["ref"], v["root"], url)))
+
+
 def normalize_url(url: Column, base: Column) -> Column:
-    """Absolute address; inline vector images stay, other data addresses and blanks are null. Python joins only what needs a path merge."""
-    u = strip(url)
+    """Absolute address; inline vector images stay, other data addresses and blanks are null."""
+    return bound(strip(url), lambda u: _absolute(u, base))
+
+
+def _absolute(u: Column, base: Column) -> Column:
     absolute = F.when(u.startswith("//"), F.concat(F.lit("https:"), u)).otherwise(u)
-    root = F.regexp_extract(base, r"^(https?://[^/?#]+)", 1)
-    rooted = absolute.startswith("/") & ~absolute.rlike(r"/\.|//") & (root != "")
     return (
         F.when(u.isNull() | (u == ""), F.lit(None).cast("string"))
         .when(u.startswith("data:image/svg+xml"), u)
         .when(u.startswith("data:"), F.lit(None).cast("string"))
         .when(absolute.rlike("^https?://"), absolute)
-        .when(rooted, F.concat(root, absolute))
-        .otherwise(_join(absolute, base))
+        .otherwise(merge_url(absolute, base))
     )
 
 
-def needs_join(url: Column) -> Column:
-    """Whether ``normalize_url`` has to merge the address with its base at all."""
-    u = strip(url)
-    return u.isNotNull() & ~u.rlike("^(https?://|data:|//)")
-
-
 def sanitize_filename(name: Column) -> Column:
     """Letters, digits, underscores, hyphens and dots of any script stay; all else becomes an underscore."""
     return F.regexp_replace(name, r"(?U)[^\w\-.]", "_")
@@ -136,13 +168,13 @@ def percent_decode(c: Column) -> Column:
     return F.try_url_decode(F.regexp_replace(c, r"\+", "%2B"))
 
 
-def content_extension(content_type: Column, url: Column, curl: bool = False) -> Column:
-    """Extension by content type, in order, else by address."""
-    kind = low(content_type) if not curl else text_or_empty(content_type)
+def content_extension(content_type: Column, url: Column, way: str = "http") -> Column:
+    """Extension by content type, in order, else by address. ``way``: how the file came: http, curl, browser or icon."""
+    kind = text_or_empty(content_type) if way == "curl" else low(content_type)
     out = F
-    for hint, ext in (V.CONTENT_TYPES_CURL if curl else V.CONTENT_TYPES).items():
+    for hint, ext in V.CONTENT_TYPES_OF[way].items():
         out = out.when(has(kind, hint), ext)
-    return out.otherwise(url_extension(url))
+    return out.otherwise(V.CONTENT_DEFAULT[way] if way in V.CONTENT_DEFAULT else url_extension(url))
 
 
 def is_home_link(href: Column, base: Column | None = None) -> Column:

@@ -22,17 +22,18 @@ def first_domains(domains: DataFrame, n: int) -> DataFrame:
 
 
 def with_order(candidates: DataFrame) -> DataFrame:
-    """Adds ``pos``: rank of the strategy, then place within it; unknown strategies come last."""
+    """Adds ``pos``: (rank of the strategy, place within it); unknown strategies come last."""
     rank = reduce(lambda w, kv: w.when(F.col("strategy") == kv[1], kv[0]), enumerate(V.STRATEGY_ORDER), F).otherwise(len(V.STRATEGY_ORDER))
-    return candidates.withColumn("pos", (rank.cast("long") * 10_000_000_000) + F.col("idx"))
+    return candidates.withColumn("pos", F.struct(rank.alias("rank"), F.col("idx")))
 
 
 def best_per_address(candidates: DataFrame, key: str = "domain") -> DataFrame:
     """One row per key and address: the highest score, of equal ones the first; ``first_pos`` keeps the first place of the address.
 
-    Two combining aggregates, no window: a key with a third of all candidates is pre-aggregated by every task.
+    Two combining aggregates, no window: a key with a third of all candidates is pre-aggregated by every task. ``pos`` may be
+    anything that has an order.
     """
-    best = F.max_by(F.struct("score", "strategy"), F.struct("score", -F.col("pos")))
+    best = F.min(F.struct((-F.col("score")).alias("less"), "pos", "score", "strategy"))
     return candidates.groupBy(key, "url").agg(best.alias("b"), F.min("pos").alias("first_pos")).select(key, "url", F.col("b.score").alias("score"), F.col("b.strategy").alias("strategy"), "first_pos")
 
 
@@ -44,8 +45,8 @@ def ranked(candidates: DataFrame, key: str = "domain", keep: int = V.SPARES + 1)
 
 def best(candidates: DataFrame, key: str = "domain") -> DataFrame:
     """The winner of each key. An aggregate instead of a sort."""
-    top = F.max_by(F.struct("url", "score", "strategy"), F.struct("score", -F.col("first_pos")))
-    return best_per_address(candidates, key).groupBy(key).agg(top.alias("t")).select(key, "t.*")
+    top = F.min(F.struct((-F.col("score")).alias("less"), "first_pos", "url", "score", "strategy"))
+    return best_per_address(candidates, key).groupBy(key).agg(top.alias("t")).select(key, "t.url", "t.score", "t.strategy")
 
 
 def source_candidates(probes: DataFrame, pages_open: DataFrame, found: DataFrame) -> DataFrame:
@@ -61,4 +62,19 @@ def source_candidates(probes: DataFrame, pages_open: DataFrame, found: DataFrame
     wordpress = rows.where(wp).join(pages_open.select("domain"), "domain", "left_anti")
     so_far = reduce(DataFrame.unionByName, [usual.select("domain"), wordpress.select("domain"), found.select("domain")])
     duck = rows.where("strategy = 'duckduckgo_icon'").join(so_far, "domain", "left_anti")
-    return reduce(DataFrame.unionByName, [usual, wordpress, duck]).select("domain", "strategy", F.lit(0).alias("idx"), "url", "score")
+    return reduce(DataFrame.unionByName, [usual, wordpress, duck]).select("domain", "strategy", F.lit(0).cast("long").alias("idx"), "url", "score")
+
+
+def wordpress_candidates(roots: DataFrame, media: DataFrame) -> DataFrame:
+    """(domain, strategy, url, bytes), the probes that a WordPress site gives. ``roots``: (domain, body) of its service's root,
+    ``media``: (domain, media_id, body) of media entries that were fetched. The logo is the address of the entry that the root names by a
+    whole number; the icon is in the root itself. Bodies that are no objects, and of one domain and entry all but one, give nothing.
+    """
+    doc, entry = F.try_parse_json("body"), F.try_parse_json("body")
+    text = lambda c, k: F.when(F.schema_of_variant(F.try_variant_get(c, f"$.{k}", "variant")) == "STRING", F.try_variant_get(c, f"$.{k}", "string"))
+    number = F.when(F.schema_of_variant(F.try_variant_get(doc, "$.site_logo", "variant")) == "BIGINT", F.try_variant_get(doc, "$.site_logo", "long"))
+    sites = roots.select("domain", number.alias("media_id"), text(doc, "site_icon_url").alias("icon"))
+    logos = media.select("domain", F.col("media_id").cast("long").alias("media_id"), text(entry, "source_url").alias("url")).where("url <> ''").groupBy("domain", "media_id").agg(F.min("url").alias("url"))
+    found = sites.where("media_id > 0").join(logos, ["domain", "media_id"]).select("domain", F.lit("wp_json_logo").alias("strategy"), "url")
+    icons = sites.where(F.col("icon").startswith("http")).select("domain", F.lit("wp_json_icon").alias("strategy"), F.col("icon").alias("url"))
+    return found.unionByName(icons).distinct().withColumn("bytes", F.lit(0))

@@ -54,3 +54,12 @@ def label_nodes(nodes: DataFrame, edges: DataFrame, node: str = "node") -> DataF
     """(node, component) of all nodes; a node without an edge is its own component."""
     found = connected_components(edges).withColumnRenamed("node", "__n")
     return nodes.select(F.col(node).alias("node")).distinct().join(found, F.col("node") == F.col("__n"), "left").select("node", F.coalesce("component", "node").alias("component"))
+
+
+def connected(labels: DataFrame, pairs: DataFrame, a: str = "a", b: str = "b", node: str = "node", hot: int | None = None) -> DataFrame:
+    """C4: adds ``connected`` to pairs of nodes: whether both have one component. An end without a component is linked to itself only; null ends to nothing."""
+    cut = Scratch(pairs.sparkSession, "connected")
+    side = lambda c, n: labels.select(F.col(node).alias(c), F.col("component").alias(n))
+    one = cut.cut(spread_join(cut.cut(pairs), side(a, "__ca"), [a], "left", hot))
+    both = spread_join(one, side(b, "__cb"), [b], "left", hot)
+    return both.withColumn("connected", F.coalesce(F.coalesce("__ca", a) == F.coalesce("__cb", b), F.lit(False))).drop("__ca", "__cb")

@@ -17,6 +17,7 @@ CLOSES = {
 }
 SCOPE = {"ul", "ol", "table", "select", "dl", "div", "header", "footer", "nav", "section", "article", "body", "html", "form"}
 RAW = {"script", "style", "title", "textarea"}
+ROWS_AT_ONCE = 5_000  # elements, of whole pages, that are held before they are passed on
 
 ELEMENT = (
     "page string, node_id int, img_no int, tag string, classes array<string>, id string, role string, attrs map<string,string>, "
@@ -109,10 +110,16 @@ def page_elements(pages: DataFrame, page_col: str = "domain", html_col: str = "h
     """
 
     def run(batches):
+        frame = lambda rows: pd.DataFrame(rows, columns=["page", "node_id", "img_no", "tag", "classes", "id", "role", "attrs", "ancestors", "text"], dtype=object)
+        rows = []
         for pdf in batches:
-            rows = [{"page": p, **r} for p, h in zip(pdf["page"], pdf["html"]) if h is not None for r in parse_elements(h)]
-            out = pd.DataFrame(rows, columns=["page", "node_id", "img_no", "tag", "classes", "id", "role", "attrs", "ancestors", "text"], dtype=object)
-            yield out
+            for p, h in zip(pdf["page"], pdf["html"]):
+                rows += [{"page": p, **r} for r in parse_elements(h)]
+                if len(rows) >= ROWS_AT_ONCE:
+                    yield frame(rows)
+                    rows = []
+        if rows:
+            yield frame(rows)
 
     taken = pages.select(F.col(f"`{page_col}`").alias("page"), F.col(f"`{html_col}`").alias("html")).where(F.col("html").isNotNull())
     return taken.mapInPandas(run, ELEMENT)

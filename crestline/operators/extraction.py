@@ -20,15 +20,16 @@ def extract_candidates(pages: DataFrame, probes: DataFrame | None = None, manife
     cut = Scratch(pages.sparkSession, "extract")
     elements = cut.cut(page_elements(pages))
     opened = open_pages(pages.select("domain", "base_url", "html"), elements)
-    bases = opened.select(F.col("domain").alias("page"), "base_url", "domain")
+    # written once: none of the strategies needs the pages themselves
+    bases = cut.cut(opened.select(F.col("domain").alias("page"), "base_url", "domain"))
     found = page_candidates(elements, bases).withColumnRenamed("page", "domain")
     if compat_manifest and manifests is not None:
-        icons = manifest_icons(manifests).select(F.col("page").alias("domain"), F.lit("manifest").alias("strategy"), F.col("idx").cast("int").alias("idx"), "url", F.col("score").cast("int").alias("score"))
+        icons = manifest_icons(manifests).select(F.col("page").alias("domain"), F.lit("manifest").alias("strategy"), F.col("idx").cast("long").alias("idx"), "url", F.col("score").cast("int").alias("score"))
         found = found.unionByName(icons)
     found = found.select("domain", "strategy", "idx", "url", "score")
     if probes is not None:
         found = cut.cut(found)
-        found = found.unionByName(source_candidates(probes, opened, found))
+        found = found.unionByName(source_candidates(probes, bases.select("domain"), found))
     return with_order(found)
 
 

@@ -2,7 +2,7 @@
 
 ``images`` has the columns of ``scoring.RENDERED`` and ``page``; ``shapes``: (page, idx, markup, classes, aria_hidden, in_header, in_nav,
 logo_around, link_href, link_img, color, page_origin); ``boxes``: (page, idx, tag, classes, background, in_header_or_nav);
-``scripts``: (page, idx, text). Regions start at the element itself there, as the browser's do.
+``scripts``: (page, idx, text). Regions start at the element itself there, as the browser's do: ``with_regions`` tells them.
 """
 
 from __future__ import annotations
@@ -14,15 +14,25 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from crestline.functions import fixed_values as V
-from crestline.functions.regions import is_dealer_address, is_ui_icon
+from crestline.functions.regions import in_footer, in_header, in_nav, is_dealer_address, is_ui_icon
 from crestline.functions.scoring import RENDERED, rendered_score
-from crestline.functions.svg import svg_data_uri
-from crestline.functions.text import has, low, points, text_or_empty
+from crestline.functions.svg import painted, svg_data_uri
+from crestline.functions.text import has, has_any, low, points, text_or_empty
 from crestline.functions.urls import strip, url_path
 
 TOP = 5
 
 
+def with_regions(elements: DataFrame, path: str = "path") -> DataFrame:
+    """B1: adds in_header, in_nav, in_footer and in_logo_widget of elements with a path: nodes (tag, classes, id, role), the element itself first.
+
+    Tags are compared in any case; a widget's class is looked for anywhere in the class text. An empty or null path is in no region.
+    """
+    nodes = F.transform(F.coalesce(F.col(path), F.array()), lambda x: x.withField("tag", F.lower(x["tag"])))
+    widget = F.exists(nodes, lambda x: has_any(F.lower(F.array_join(F.coalesce(x["classes"], F.array()), " ")), V.LOGO_WIDGETS))
+    return elements.select("*", in_header(nodes).alias("in_header"), in_nav(nodes).alias("in_nav"), in_footer(nodes).alias("in_footer"), widget.alias("in_logo_widget"))
+
+
 def rendered_images(images: DataFrame) -> DataFrame:
     """B2."""
     names = [c.split()[0] for c in RENDERED.replace("\n", " ").split(", ")]
@@ -42,10 +52,8 @@ def rendered_shapes(shapes: DataFrame) -> DataFrame:
     placed = F.col("in_header") | F.col("in_nav")
     score = F.when(F.col("logo_around") & placed, 95).when(home & placed, 85)
     svg, hexa = F.col("markup"), _hex(text_or_empty(F.col("color")))
-    for attr in ("fill", "stroke"):
-        quoted = F.split(svg, f"(?i){attr}\\s*=\\s*[\"']currentcolor[\"']", -1)
-        svg = F.replace(F.concat_ws("\0", quoted), F.lit("\0"), F.concat(F.lit(f'{attr}="'), hexa, F.lit('"')))
-        svg = F.replace(F.concat_ws("\0", F.split(svg, f"(?i){attr}\\s*:\\s*currentcolor", -1)), F.lit("\0"), F.concat(F.lit(f"{attr}:"), hexa))
+    for prop in ("fill", "stroke"):
+        svg = painted(svg, prop, hexa)
     box = F.split(F.trim(F.regexp_extract("markup", r'viewBox="([^"]*)"', 1)), r"[\s,]+")
     num = lambda c: c.try_cast("double")
     under = lambda a, b: F.coalesce((a < V.LEAST_VIEWBOX) & (b < V.LEAST_VIEWBOX), F.lit(False))

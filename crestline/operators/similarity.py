@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crestline.functions import fixed_values as V
+from crestline.functions.text import bound
 from crestline.operators.components import label_nodes
 from crestline.operators.joins import blocked_pairs, spread_join
 from crestline.operators.linkage import spanning_forest
@@ -30,11 +31,6 @@ def _pack(bits: Column) -> Column:
     return F.aggregate(F.transform(bits, lambda b, i: F.when(b, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long"))), F.lit(0).cast("long"), lambda acc, x: acc.bitwiseOR(x))
 
 
-def _bound(value: Column, body) -> Column:
-    """``body`` of a value that is evaluated once, not once per element that looks at it."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
 def _doubles(block: Column) -> Column:
     return F.transform(block, lambda v: v.cast("double"))
 
@@ -42,19 +38,19 @@ def _doubles(block: Column) -> Column:
 def phash_bits(block: Column) -> Column:
     """Bit i: value i of an 8 x 8 block is above the median (mean of the two middle values, in double arithmetic)."""
     middle = lambda s: F.element_at(s, 32) + F.element_at(s, 33)
-    return _bound(_doubles(block), lambda x: _bound(F.array_sort(x), lambda s: _bound(middle(s), lambda m: _pack(F.transform(x, lambda v: v * 2 > m)))))
+    return bound(_doubles(block), lambda x: bound(F.array_sort(x), lambda s: bound(middle(s), lambda m: _pack(F.transform(x, lambda v: v * 2 > m)))))
 
 
 def dhash_bits(block: Column) -> Column:
     """Bit i: the next value of the row, cyclically, is larger."""
     nxt = lambda i: (F.floor(i / 8) * 8 + (i + 1) % 8).cast("int")
-    return _bound(_doubles(block), lambda x: _pack(F.transform(x, lambda v, i: F.get(x, nxt(i)) > v)))
+    return bound(_doubles(block), lambda x: _pack(F.transform(x, lambda v, i: F.get(x, nxt(i)) > v)))
 
 
 def ahash_bits(block: Column) -> Column:
     """Bit i: value i is above the mean."""
     mean = lambda x: F.aggregate(x, F.lit(0.0), lambda a, v: a + v) / F.size(x)
-    return _bound(_doubles(block), lambda x: _bound(mean(x), lambda m: _pack(F.transform(x, lambda v: v > m))))
+    return bound(_doubles(block), lambda x: bound(mean(x), lambda m: _pack(F.transform(x, lambda v: v > m))))
 
 
 def hash_classes(hashes: DataFrame, key: str = "ord") -> DataFrame:

@@ -73,7 +73,8 @@ def key_percentiles(df: DataFrame, key: str, value: str, shares: list[float], wi
     )
 
 
-def heavy_keys(profile: DataFrame, key: str, share: float) -> DataFrame:
-    """Non-null keys that hold more than ``share`` of all records of a ``key_profile``."""
-    total = profile.agg(F.sum("records")).scalar()
+def heavy_keys(profile: DataFrame, key: str, share: float, rows: DataFrame | None = None) -> DataFrame:
+    """Non-null keys that hold more than ``share`` of all records of a ``key_profile``. ``rows``: the table itself, whose rows are
+    counted without making the profile a second time."""
+    total = profile.agg(F.sum("records")).scalar() if rows is None else rows.agg(F.count(F.lit(1))).scalar()
     return profile.where(F.col(key).isNotNull() & (F.col("records") > total * share))

@@ -100,11 +100,11 @@ def svg_inline(elements: DataFrame, bases: DataFrame) -> DataFrame:
     anchors = anchors.select("page", F.col("node_id").alias("a_id"), F.col("attrs").alias("a_attrs"), F.lower(F.array_join("classes", " ")).alias("a_cls"), F.lower("id").alias("a_name"))
     links = _with_base(anchors.join(held, ["page", "a_id"]), bases).where(is_home_link(strip(F.col("a_attrs")["href"]), F.col("base_url")))
     with_img = computed(links.where("img is not null"), src=image_source_plain(F.col("img.attrs")))
-    with_img = computed(with_img, url=normalize_url(F.col("src"), F.col("base_url"))).where(is_valid_image(F.col("url"))).select("page", F.col("a_id").alias("idx"), "url", F.lit(75).alias("score"))
+    with_img = computed(with_img, url=normalize_url(F.col("src"), F.col("base_url"))).where(is_valid_image(F.col("url"))).select("page", F.col("a_id").cast("long").alias("idx"), "url", F.lit(75).alias("score"))
     a_ctx = F.concat_ws(" ", "a_cls", "a_name")
     plain = (low(F.col("svg.attrs")["aria-hidden"]) != "true") & ~is_ui_icon(F.col("svg.cls")) & ~(is_ui_icon(a_ctx) & ~has(a_ctx, "logo"))
     score = F.when(has_any(F.col("a_cls"), ["brand", "logo"]), 90).otherwise(80) + points(has(low(F.col("a_attrs")["aria-label"]), "home"), 5)
-    drawn = _drawings(links.where(F.col("img").isNull() & plain), F.col("svg.text")).select("page", F.col("a_id").alias("idx"), svg_data_uri(F.col("fixed")).alias("url"), score.alias("score"))
+    drawn = _drawings(links.where(F.col("img").isNull() & plain), F.col("svg.text")).select("page", F.col("a_id").cast("long").alias("idx"), svg_data_uri(F.col("fixed")).alias("url"), score.alias("score"))
 
     near = F.slice("ancestors", 1, 5)
     cls = lambda x: F.lower(F.array_join(x["classes"], " "))
@@ -115,7 +115,7 @@ def svg_inline(elements: DataFrame, bases: DataFrame) -> DataFrame:
     boxes = elements.where((F.col("tag") == "svg") & (low(a_attr["aria-hidden"]) != "true") & ~is_ui_icon(F.array_join("classes", " ")))
     boxes = computed(boxes, logo=logo, hdr=hdr, nav=nav, foot=foot).where("logo and (hdr or nav) and not foot").join(bases.select("page"), "page")
     # the second approach comes after all of the first
-    contained = _drawings(boxes, F.col("text")).select("page", (F.col("node_id") + 1_000_000_000).alias("idx"), svg_data_uri(F.col("fixed")).alias("url"), F.when(F.expr("hdr and nav"), 95).otherwise(85).alias("score"))
+    contained = _drawings(boxes, F.col("text")).select("page", (F.col("node_id").cast("long") + (1 << 40)).alias("idx"), svg_data_uri(F.col("fixed")).alias("url"), F.when(F.expr("hdr and nav"), 95).otherwise(85).alias("score"))
     return with_img.unionByName(drawn).unionByName(contained)
 
 
@@ -140,7 +140,7 @@ def json_ld(elements: DataFrame, bases: DataFrame) -> DataFrame:
     found = found.select("page", "base_url", "node_id", "pos", F.posexplode(F.array("logo", "image")).alias("which", "raw")).where("raw is not null")
     found = computed(found.where((F.col("which") == 0) | is_likely_logo(F.col("raw"))), url=normalize_url(F.col("raw"), F.col("base_url"))).where("url is not null")
     score = F.when(F.col("which") == 1, 70).when(is_dealer_address(F.col("url")), 50).otherwise(90)
-    idx = (F.col("node_id") * 1000 + F.least("pos", F.lit(499)) * 2 + F.col("which")).cast("int")
+    idx = F.shiftleft(F.col("node_id").cast("long"), 31) + F.col("pos").cast("long") * 2 + F.col("which")
     return found.select("page", idx.alias("idx"), "url", score.alias("score"))
 
 
@@ -168,5 +168,5 @@ PAGE_STRATEGIES = {"json_ld": json_ld, "link_tag": link_tags, "meta_tag": meta_t
 
 def page_candidates(elements: DataFrame, bases: DataFrame) -> DataFrame:
     """Union of all strategies: (page, strategy, idx, url, score)."""
-    parts = [f(elements, bases).select("page", F.lit(name).alias("strategy"), F.col("idx").cast("int").alias("idx"), "url", F.col("score").cast("int").alias("score")) for name, f in PAGE_STRATEGIES.items()]
+    parts = [f(elements, bases).select("page", F.lit(name).alias("strategy"), F.col("idx").cast("long").alias("idx"), "url", F.col("score").cast("int").alias("score")) for name, f in PAGE_STRATEGIES.items()]
     return reduce(DataFrame.unionByName, parts)

@@ -50,19 +50,20 @@ def fallback_candidates(spark, folder):
 
 
 def extraction_totals(spark, folder):
-    return totals(_results(spark, folder))
+    """Of all records, each once however often it was delivered, as in all queries of this module."""
+    return totals(_once(spark, folder))
 
 
 def strategy_counts(spark, folder):
-    return strategy_histogram(_results(spark, folder))
+    return strategy_histogram(_once(spark, folder))
 
 
 def file_type_counts(spark, folder):
-    return file_types(_results(spark, folder))
+    return file_types(_once(spark, folder))
 
 
 def ok_and_failed(spark, folder):
-    rows = _results(spark, folder)
+    rows = _once(spark, folder)
     return rows.groupBy("domain").agg(F.count_if(is_ok(F.col("downloaded_path"), F.col("error"))).alias("ok"), F.count_if(~is_ok(F.col("downloaded_path"), F.col("error"))).alias("failed"))
 
 
@@ -110,6 +111,8 @@ def weekly_strategies(spark, folder):
 QUERIES = {f.__name__: f for f in (
     json_props, weekly_strategies, candidate_dedup, candidate_best, candidate_top, fallback_candidates, extraction_totals, strategy_counts, file_type_counts, ok_and_failed, retry_routing, override_merge, page_candidates)}
 
+# a record is told by its number; deliveries differ in their time of loading only
+_EACH = "(SELECT DISTINCT ON (result_id) * FROM extraction_results ORDER BY result_id)"
 _C = """o AS (SELECT DISTINCT * EXCLUDE (loaded_at) FROM extraction_results),
   c AS (SELECT domain, logo_url AS url, coalesce(_best_score, 0) AS score, source_strategy AS strategy, result_id AS pos FROM o WHERE domain IS NOT NULL AND logo_url <> ''),
   b AS (SELECT domain, url, score, strategy, first_pos FROM (SELECT *, min(pos) OVER (PARTITION BY domain, url) AS first_pos,
@@ -142,11 +145,11 @@ SQL = {
   u AS (SELECT * FROM s WHERE score IS NOT NULL AND strategy <> 'duckduckgo_icon' AND (NOT starts_with(strategy, 'wp_json') OR (domain NOT IN (SELECT domain FROM p) AND (strategy <> 'wp_json_icon' OR starts_with(url, 'http')))))
   SELECT * FROM u UNION ALL SELECT * FROM s WHERE strategy = 'duckduckgo_icon' AND domain NOT IN (SELECT domain FROM u) AND domain NOT IN (SELECT domain FROM f)""",
     "extraction_totals": f"""SELECT *, round(found * 100.0::DOUBLE / nullif(total, 0), 1) AS found_pct, round(downloaded * 100.0::DOUBLE / nullif(total, 0), 1) AS downloaded_pct FROM (
-        SELECT count(*) AS total, count(*) FILTER ({_THERE('logo_url')}) AS found, count(*) FILTER ({_THERE('downloaded_path')}) AS downloaded, count(*) FILTER ({_THERE('error')}) AS errors FROM extraction_results)""",
-    "strategy_counts": f"""SELECT source_strategy, count(*) AS n, round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM extraction_results WHERE logo_url <> ''), 1) AS pct
-        FROM extraction_results WHERE source_strategy <> '' GROUP BY 1""",
-    "file_type_counts": "SELECT CASE " + " ".join(f"WHEN ends_with(lower(downloaded_path), '{e}') THEN '{'.jpg' if e == '.jpeg' else e}'" for e in V.EXTENSIONS) + " ELSE 'other' END AS ext, count(*) AS n FROM extraction_results WHERE downloaded_path <> '' GROUP BY 1",
-    "ok_and_failed": f"SELECT domain, count(*) FILTER ({_OK}) AS ok, count(*) FILTER (NOT {_OK}) AS failed FROM extraction_results GROUP BY domain",
+        SELECT count(*) AS total, count(*) FILTER ({_THERE('logo_url')}) AS found, count(*) FILTER ({_THERE('downloaded_path')}) AS downloaded, count(*) FILTER ({_THERE('error')}) AS errors FROM {_EACH})""",
+    "strategy_counts": f"""SELECT source_strategy, count(*) AS n, round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM {_EACH} WHERE logo_url <> ''), 1) AS pct
+        FROM {_EACH} WHERE source_strategy <> '' GROUP BY 1""",
+    "file_type_counts": "SELECT CASE " + " ".join(f"WHEN ends_with(lower(downloaded_path), '{e}') THEN '{'.jpg' if e == '.jpeg' else e}'" for e in V.EXTENSIONS) + f" ELSE 'other' END AS ext, count(*) AS n FROM {_EACH} WHERE downloaded_path <> '' GROUP BY 1",
+    "ok_and_failed": f"SELECT domain, count(*) FILTER ({_OK}) AS ok, count(*) FILTER (NOT {_OK}) AS failed FROM {_EACH} GROUP BY domain",
     "retry_routing": f"""SELECT DISTINCT result_id, CASE WHEN {_THERE('error')} OR NOT {_THERE('logo_url')} THEN 'failed' ELSE 'weak' END AS retry FROM extraction_results
         WHERE {_THERE('error')} OR NOT {_THERE('logo_url')} OR ({_THERE('downloaded_path')} AND (ends_with(downloaded_path, '.ico') OR coalesce(source_strategy IN ({_LIST(V.WEAK_ALWAYS)}), false)))""",
     "override_merge": f"""WITH {_C},

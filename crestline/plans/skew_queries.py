@@ -10,8 +10,9 @@ HOT_SHARE = 0.01
 
 def p1_found(spark, folder):
     """Addresses that hold more than 1 % of all records as stored."""
-    profile = key_profile(table(spark, folder, "extraction_results"), "logo_url")
-    return heavy_keys(profile, "logo_url", HOT_SHARE).select("logo_url")
+    rows = table(spark, folder, "extraction_results")
+    profile = key_profile(rows, "logo_url", distinct={"domains": "domain"})
+    return heavy_keys(profile, "logo_url", HOT_SHARE, rows).select("logo_url")
 
 
 def p1_address_profile(spark, folder):
@@ -28,10 +29,11 @@ def p1_address_times(spark, folder):
 
 
 def p1_group_profile(spark, folder):
-    """How many groups, over how many runs, have each size."""
+    """How many groups, over how many runs, have each size. Runs that were delivered twice count once."""
     from pyspark.sql import functions as F
 
-    groups = table(spark, folder, "clustering_results").select("run_id", F.explode("groups").alias("g")).select("run_id", F.col("g.count").alias("group_size"))
+    runs = table(spark, folder, "clustering_results").groupBy("run_id").agg(F.min_by("groups", "finished_at").alias("groups"))
+    groups = runs.select("run_id", F.explode("groups").alias("g")).select("run_id", F.col("g.count").alias("group_size"))
     return key_profile(groups, "group_size", distinct={"runs": "run_id"})
 
 
@@ -53,5 +55,5 @@ SQL = {
         WHERE r = greatest(ceil(s.share * n), 1)""",
     "p1_group_profile": """
         SELECT g.count AS group_size, count(*) AS records, count(DISTINCT run_id) AS runs
-        FROM (SELECT run_id, unnest(groups) AS g FROM clustering_results) GROUP BY g.count""",
+        FROM (SELECT run_id, unnest(groups) AS g FROM (SELECT DISTINCT ON (run_id) run_id, groups FROM clustering_results ORDER BY run_id)) GROUP BY g.count""",
 }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from crestline.functions import fixed_values as V
 from crestline.functions.text import has
+from crestline.functions.urls import user_agent_no
 
 LOGO_RESULT = "domain string, logo_url string, source_strategy string, downloaded_path string, error string, http_status int, extraction_time_ms int, _best_score int"
 ATTEMPTS = "domain string, attempt int, variant int, scheme int, http_status int, html string, final_url string"
@@ -36,6 +37,18 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("bytes"), F.md5("content").alias("digest"))
 
 
+def fetch_plan(domains: DataFrame) -> DataFrame:
+    """S3: (domain, attempt, variant, scheme, url, agent): the requests for the page of each domain, in the order they are to be tried.
+
+    Three attempts over the host, then the host with www. in front (unless it has that), each by https, then http; an agent per domain.
+    """
+    hosts = F.when(F.col("domain").startswith("www."), F.array("domain")).otherwise(F.array(F.col("domain"), F.concat(F.lit("www."), F.col("domain"))))
+    tries = domains.where("domain is not null").select("domain", F.explode(F.sequence(F.lit(0), F.lit(V.FETCH_ATTEMPTS - 1))).alias("attempt"), hosts.alias("hosts"))
+    tries = tries.select("domain", "attempt", F.posexplode("hosts").alias("variant", "host"))
+    tries = tries.select("domain", "attempt", "variant", "host", F.posexplode(F.array(*map(F.lit, V.FETCH_SCHEMES))).alias("scheme", "way"))
+    return tries.select("domain", "attempt", "variant", "scheme", F.concat("way", F.lit("://"), "host").alias("url"), user_agent_no(F.col("domain")).alias("agent"))
+
+
 def first_pages(attempts: DataFrame) -> DataFrame:
     """S3: the page of each domain out of its attempts, tried in the order attempt, host variant, scheme.
 
