@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from crestline.llm.spectral import similarity_clusters, with_typical
+from crestline.llm.spectral import similarity_clusters, similarity_subclusters, with_typical
 from crestline.plans.session import table
 
 
@@ -19,7 +19,13 @@ def p3_clusters(spark, folder):
         F.count(F.lit(1)).alias("members"), F.min(F.struct("dist_sum", "ord")).getField("ord").alias("typical_ord"), F.min("dist_sum").alias("typical_dist_sum"))
 
 
-QUERIES = {"p3_found": p3_found, "p3_clusters": p3_clusters}
+def p3_subclusters(spark, folder):
+    """Size and most typical member, by affinity to the others, of what the embedding tells apart in every linked group. SQL can't iterate it; tested on planted clusters."""
+    top = F.min(F.struct((-F.col("affinity")).alias("less"), "ord")).getField("ord")
+    return similarity_subclusters(table(spark, folder, "hashes")).groupBy("group_ord", "first_ord").agg(F.count(F.lit(1)).alias("members"), top.alias("typical_ord"))
+
+
+QUERIES = {"p3_found": p3_found, "p3_clusters": p3_clusters, "p3_subclusters": p3_subclusters}
 
 _CLUSTERS = """h AS (SELECT DISTINCT ord, p, d FROM hashes WHERE ord IS NOT NULL AND p IS NOT NULL AND d IS NOT NULL),
   e AS (SELECT x.ord AS a, y.ord AS b FROM h x JOIN h y ON x.ord <> y.ord

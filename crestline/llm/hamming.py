@@ -18,6 +18,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from crestline.operators.joins import MOST_KEYS, spread_join
+from crestline.plans.scratch import Scratch
+
 BITS = 64
 
 
@@ -70,14 +73,19 @@ def _entries(nodes: DataFrame, budgets: list[int]) -> DataFrame:
     return nodes.select("payload", F.inline(F.concat(*per)))
 
 
-def _hot_values(nodes: DataFrame, budgets: list[int], hot: int) -> DataFrame:
-    """(seg, value, blocks) of join keys that more than ``hot`` entries share, from counts of the plain segments."""
+def _hot_values(nodes: DataFrame, budgets: list[int], hot: int) -> DataFrame | None:
+    """(seg, value, blocks) of join keys that more than ``hot`` entries share, from counts of the plain segments; a local table of at
+    most MOST_KEYS rows, or None."""
     width = BITS // len(budgets)
     base = _entries(nodes, [0] * len(budgets)).groupBy("seg", "value").agg(F.count(F.lit(1)).alias("n"))
     spread = F.coalesce(*(
         F.when(F.col("seg") == s, F.array(*(F.col("value").bitwiseXOR(F.lit(_bit(f - 1) if f else 0).cast("long")) for f in range((width if t else 0) + 1)))) for s, t in enumerate(budgets)))
     near = base.select("seg", F.explode(spread).alias("value"), "n").groupBy("seg", "value").agg(F.sum("n").alias("n"))
-    return near.where(F.col("n") > hot).select("seg", "value", F.ceil(F.col("n") / hot).cast("int").alias("blocks"))
+    # a row has at most 17 entries a segment, so not more keys than entries / hot are hot
+    hot = max(hot, nodes.count() * sum(width + 1 if t else 1 for t in budgets) // MOST_KEYS)
+    found = near.where(F.col("n") > hot).select("seg", "value", F.ceil(F.col("n") / hot).cast("int").alias("blocks"))
+    held = found.collect()
+    return nodes.sparkSession.createDataFrame(held, found.schema) if held else None
 
 
 def near_codes(nodes: DataFrame, tau: int, keep=None, hot: int = 20_000) -> DataFrame:
@@ -91,17 +99,9 @@ def near_codes(nodes: DataFrame, tau: int, keep=None, hot: int = 20_000) -> Data
     m = len(budgets)
     width = BITS // m
     # a row becomes up to 60 entries: its own number of tasks, which adaptive execution leaves as it is
+    hot_keys = _hot_values(nodes, budgets, hot)
     nodes = nodes.repartition(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "code")
     entries = _entries(nodes, budgets)
-    hot_keys = _hot_values(nodes, budgets, hot)
-    # at most 2^16 keys a segment bound this table if segments are that short
-    tagged = entries.join(F.broadcast(hot_keys) if width <= 16 else hot_keys, ["seg", "value"], "left")
-    usual = tagged.where(F.col("blocks").isNull()).drop("blocks")
-    warm = tagged.where(F.col("blocks").isNotNull()).withColumn("own", F.pmod(F.xxhash64("turned", "payload"), F.col("blocks").cast("long")).cast("int"))
-    warm = warm.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    side = ["seg", "value", "flip", "turned", "payload"]
-    left = warm.select(*side, F.col("own").alias("bi"), F.col("other").alias("bj"))
-    right = warm.select(*side, F.col("other").alias("bi"), F.col("own").alias("bj"))
     # budgets of chains of 2 .. m - 1 links, by the segment they start from
     chains = [[sum(budgets[(s + i) % m] for i in range(n)) + n - 1 for s in range(m)] for n in range(2, m)]
 
@@ -126,7 +126,17 @@ def near_codes(nodes: DataFrame, tau: int, keep=None, hot: int = 20_000) -> Data
         found = found.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).where("x <> y")
         return found.select(*(F.col(f"{v}.{k}").alias(f"{k}_{n}") for n, v in (("a", "x"), ("b", "y")) for k in ("code", "payload")))
 
-    both = matched(usual, usual, ["seg", "value"]).unionByName(matched(left, right, ["seg", "value", "bi", "bj"]))
+    if hot_keys is None:
+        both = matched(entries, entries, ["seg", "value"])
+    else:
+        tagged = entries.join(F.broadcast(hot_keys), ["seg", "value"], "left")
+        usual = tagged.where(F.col("blocks").isNull()).drop("blocks")
+        warm = tagged.where(F.col("blocks").isNotNull()).withColumn("own", F.pmod(F.xxhash64("turned", "payload"), F.col("blocks").cast("long")).cast("int"))
+        warm = warm.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        side = ["seg", "value", "flip", "turned", "payload"]
+        left = warm.select(*side, F.col("own").alias("bi"), F.col("other").alias("bj"))
+        right = warm.select(*side, F.col("other").alias("bi"), F.col("own").alias("bj"))
+        both = matched(usual, usual, ["seg", "value"]).unionByName(matched(left, right, ["seg", "value", "bi", "bj"]))
     return both.withColumn("dist", F.bit_count(F.col("code_a").bitwiseXOR(F.col("code_b"))))
 
 
@@ -138,29 +148,77 @@ def usable(hashes: DataFrame) -> DataFrame:
     return hashes.select("ord", "p", "d").dropna().distinct()
 
 
-def gate_links(rows: DataFrame, t1: int = T1_P, t2: int = T2_P, t2d: int = T2_D, hot: int = 20_000) -> tuple[DataFrame, DataFrame]:
+def gate_links(rows: DataFrame, cut: Scratch, t1: int = T1_P, t2: int = T2_P, t2d: int = T2_D, hot: int = 20_000) -> tuple[DataFrame, DataFrame]:
     """The gate between different p: pairs of p values that pass by p alone (any d), and pairs of (p, d) values that pass only with d. Pairs may be repeated."""
-    by_p = near_codes(rows.select(F.col("p").alias("code"), F.lit(0).cast("long").alias("payload")).distinct(), t1, hot=hot)
+    codes = cut.cut(rows.select(F.col("p").alias("code"), F.lit(0).cast("long").alias("payload")).distinct())
+    by_p = near_codes(codes, t1, hot=hot)
     apart = lambda a, b: F.bit_count(a.bitwiseXOR(b)).between(t1 + 1, t2)
-    by_d = near_codes(rows.select(F.col("d").alias("code"), F.col("p").alias("payload")).distinct(), t2d, keep=apart, hot=hot)
+    by_d = near_codes(cut.cut(rows.select(F.col("d").alias("code"), F.col("p").alias("payload")).distinct()), t2d, keep=apart, hot=hot)
     return (
         by_p.select(F.col("code_a").alias("p_a"), F.col("code_b").alias("p_b"), F.col("dist").cast("long").alias("p_dist")),
         by_d.select(F.col("payload_a").alias("p_a"), F.col("code_a").alias("d_a"), F.col("payload_b").alias("p_b"), F.col("code_b").alias("d_b"), F.bit_count(F.col("payload_a").bitwiseXOR(F.col("payload_b"))).cast("long").alias("p_dist")),
     )
 
 
-def similar_pairs(hashes: DataFrame, **gate) -> DataFrame:
+CHUNK = 500  # rows of one hash that are handled together
+
+
+def _chunks(rows: DataFrame, keys: list[str], cut: Scratch, chunk: int) -> tuple[DataFrame, DataFrame]:
+    """((keys, chunk, chunks, ords), (keys, chunks)): the rows of each hash in pieces of about ``chunk``, told by their ord."""
+    counts = cut.cut(rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("chunks")))
+    own = spread_join(rows.select("ord", *keys), counts, keys)
+    piece = F.pmod(F.xxhash64("ord"), F.col("chunks").cast("long")).cast("int").alias("chunk")
+    return cut.cut(own.groupBy(*keys, piece, "chunks").agg(F.collect_list("ord").alias("ords"))), counts
+
+
+def _expanded(links: DataFrame, keys: list[str], pieces: DataFrame, counts: DataFrame, cut: Scratch) -> DataFrame:
+    """(x, y): all pairs of rows of linked hashes; a link of two hashes with many rows becomes many rows first, one per pair of pieces."""
+    names = {"a": [f"{k}_a" for k in keys], "b": [f"{k}_b" for k in keys]}
+    rows = links
+    for s in "ab":
+        table = counts.select(*(F.col(k).alias(f"{k}_{s}") for k in keys), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias(f"n_{s}"))
+        # few pieces each, mostly one
+        rows = rows.join(table, names[s])
+    rows = cut.cut(rows)
+    for s in "ab":
+        table = pieces.select(*(F.col(k).alias(f"{k}_{s}") for k in keys), F.col("chunk").alias(f"n_{s}"), F.col("ords").alias(f"ords_{s}"))
+        rows = cut.cut(spread_join(rows, table, [*names[s], f"n_{s}"]))
+    return rows.select(F.explode("ords_a").alias("x"), "ords_b").select("x", F.explode("ords_b").alias("y"))
+
+
+def similar_pairs(hashes: DataFrame, chunk: int = CHUNK, **gate) -> DataFrame:
     """(ord_a, ord_b), ord_a < ord_b: every pair of different rows that passes the gate, each once.
 
-    Rows with a null ord, p or d are in no pair; redelivered rows count once; equal hashes are a pair.
-    Extra columns are ignored; an empty table gives no row.
+    Rows with a null ord, p or d are in no pair; redelivered rows count once; equal hashes are a pair. Extra columns are ignored; an
+    empty table gives no row. The pairs of equal hashes are as many as the square of their rows: pieces of ``chunk`` rows meet, so no
+    task makes more than chunk x chunk of them at a time. ``similar_classes`` has the same without any pair of copies.
     """
-    rows = usable(hashes)
-    by_p, by_d = (x.drop("p_dist").distinct() for x in gate_links(rows, **gate))
-    a = rows.select(F.col("ord").alias("x"), F.col("p").alias("p_a"), F.col("d").alias("d_a"))
-    b = rows.select(F.col("ord").alias("y"), F.col("p").alias("p_b"), F.col("d").alias("d_b"))
-    same = a.join(b, (F.col("p_a") == F.col("p_b")) & (F.col("x") < F.col("y"))).select("x", "y")
-    wide = by_p.join(a.drop("d_a"), "p_a").join(b.drop("d_b"), "p_b").select("x", "y")
-    tight = by_d.join(a, ["p_a", "d_a"]).join(b, ["p_b", "d_b"]).select("x", "y")
+    cut = Scratch(hashes.sparkSession, "pairs")
+    rows = cut.cut(usable(hashes))
+    by_p, by_d = (cut.cut(x.drop("p_dist").distinct()) for x in gate_links(rows, cut, **gate))
+    pieces, counts = _chunks(rows, ["p"], cut, chunk)
+    met = pieces.select("p", F.col("chunk").alias("n_a"), F.col("ords").alias("ords_a"), F.explode(F.sequence(F.col("chunk"), F.col("chunks") - 1)).alias("chunk"))
+    met = met.join(pieces.select("p", "chunk", "ords"), ["p", "chunk"])
+    same = met.select("n_a", "chunk", F.explode("ords_a").alias("x"), "ords").select("n_a", "chunk", "x", F.explode("ords").alias("y")).where((F.col("n_a") < F.col("chunk")) | (F.col("x") < F.col("y"))).select("x", "y")
+    wide = _expanded(by_p, ["p"], pieces, counts, cut)
+    tight = _expanded(by_d, ["p", "d"], *_chunks(rows, ["p", "d"], cut, chunk), cut)
     both = same.unionByName(wide).unionByName(tight)
     return both.where("x <> y").select(F.least("x", "y").alias("ord_a"), F.greatest("x", "y").alias("ord_b"))
+
+
+def similar_classes(hashes: DataFrame, **gate) -> DataFrame:
+    """(ord, class_ord, copies, links): for every row with both hashes the first row with equal ones, how many share them, and the number of
+    other rows that pass the gate with it. Linear in rows and in pairs of different hashes; redelivered rows count once."""
+    cut = Scratch(hashes.sparkSession, "classes")
+    rows = cut.cut(usable(hashes))
+    by_p, by_d = (cut.cut(x.drop("p_dist").distinct()) for x in gate_links(rows, cut, **gate))
+    classes = cut.cut(rows.groupBy("p", "d").agg(F.min("ord").alias("class_ord"), F.count(F.lit(1)).alias("copies")))
+    of_p = cut.cut(classes.groupBy("p").agg(F.sum("copies").alias("n")))
+    ways = by_p.select(F.inline(F.array(F.struct(F.col("p_a").alias("p"), F.col("p_b").alias("q")), F.struct(F.col("p_b").alias("p"), F.col("p_a").alias("q")))))
+    near = ways.join(of_p.select(F.col("p").alias("q"), "n"), "q").groupBy("p").agg(F.sum("n").alias("near"))
+    side = lambda x, y: F.struct(F.col(f"p_{x}").alias("p"), F.col(f"d_{x}").alias("d"), F.col(f"p_{y}").alias("q"), F.col(f"d_{y}").alias("e"))
+    more = by_d.select(F.inline(F.array(side("a", "b"), side("b", "a"))))
+    more = more.join(classes.select(F.col("p").alias("q"), F.col("d").alias("e"), "copies"), ["q", "e"]).groupBy("p", "d").agg(F.sum("copies").alias("more"))
+    counted = cut.cut(classes.join(of_p, "p").join(near, "p", "left").join(more, ["p", "d"], "left").select(
+        "p", "d", "class_ord", "copies", (F.col("n") - 1 + F.coalesce("near", F.lit(0)) + F.coalesce("more", F.lit(0))).alias("links")))
+    return spread_join(rows, counted, ["p", "d"]).select("ord", "class_ord", "copies", "links")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from crestline.llm.hamming import T1_P, T2_D, T2_P, similar_pairs
+from crestline.llm.hamming import T1_P, T2_D, T2_P, similar_classes, similar_pairs
 from crestline.llm.linking import link_groups
 from crestline.plans.session import table
 
@@ -31,7 +31,12 @@ def p5_found(spark, folder):
     return similar_pairs(table(spark, folder, "hashes"))
 
 
-QUERIES = {"p4_found": p4_found, "p4_groups": p4_groups, "p5_found": p5_found}
+def p5_classes(spark, folder):
+    """Every row of hashes with its class of equal ones and the number of its links."""
+    return similar_classes(table(spark, folder, "hashes"))
+
+
+QUERIES = {"p4_found": p4_found, "p4_groups": p4_groups, "p5_found": p5_found, "p5_classes": p5_classes}
 
 _MATCHES = """m AS (SELECT DISTINCT domain_a AS a, domain_b AS b FROM match_pairs WHERE domain_a IS NOT NULL AND domain_b IS NOT NULL AND domain_a <> domain_b
     AND (via IN ('same_url', 'same_file') OR (via = 'phash' AND (p_dist <= 10 OR (p_dist <= 12 AND d_dist <= 10))))),
@@ -42,6 +47,10 @@ _MATCHES = """m AS (SELECT DISTINCT domain_a AS a, domain_b AS b FROM match_pair
 SQL = {
     "p4_found": f"WITH RECURSIVE {_MATCHES} SELECT group_domain, domain FROM g WHERE group_domain <> domain",
     "p4_groups": f"WITH RECURSIVE {_MATCHES} SELECT group_domain, domain FROM g",
+    "p5_classes": """WITH h AS (SELECT DISTINCT ord, p, d FROM hashes WHERE ord IS NOT NULL AND p IS NOT NULL AND d IS NOT NULL),
+        l AS (SELECT x.ord, count(*) AS links FROM h x JOIN h y ON x.ord <> y.ord
+              WHERE bit_count(xor(x.p, y.p)) <= 10 OR (bit_count(xor(x.p, y.p)) <= 12 AND bit_count(xor(x.d, y.d)) <= 10) GROUP BY x.ord)
+        SELECT h.ord, min(h.ord) OVER (PARTITION BY p, d) AS class_ord, count(*) OVER (PARTITION BY p, d) AS copies, coalesce(links, 0) AS links FROM h LEFT JOIN l USING (ord)""",
     "p5_found": """WITH h AS (SELECT DISTINCT ord, p, d FROM hashes WHERE ord IS NOT NULL AND p IS NOT NULL AND d IS NOT NULL)
         SELECT x.ord AS ord_a, y.ord AS ord_b FROM h x JOIN h y ON x.ord < y.ord
         WHERE bit_count(xor(x.p, y.p)) <= 10 OR (bit_count(xor(x.p, y.p)) <= 12 AND bit_count(xor(x.d, y.d)) <= 10)""",

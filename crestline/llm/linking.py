@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crestline.operators.joins import spread_join
 from crestline.plans.scratch import Scratch
 
 
@@ -59,13 +60,15 @@ def _compress_chains(edges: DataFrame, cut: Scratch) -> tuple[DataFrame, DataFra
         return None
     parents = ends.select(F.col("t").alias("child"), F.col("e1").alias("parent"))
     bridges = ends.where("e1 <> e2 and rank = 0").select(F.col("e1").alias("a"), F.col("e2").alias("b"))
-    gone = ends.select("t")
-    rest = edges.join(gone, F.col("a") == F.col("t"), "left_anti").join(gone, F.col("b") == F.col("t"), "left_anti")
+    # the edges of a vertex of degree two are known by both ends, so those of a hub next to it spread over all tasks
+    out = ends.select("t").join(mid.select(F.col("u").alias("t"), "lo", "hi"), "t").select("t", F.explode(F.array("lo", "hi")).alias("o"))
+    out = out.select(F.least("t", "o").alias("a"), F.greatest("t", "o").alias("b")).distinct()
+    rest = edges.join(out, ["a", "b"], "left_anti")
     return parents, cut.cut(rest.unionByName(bridges).distinct()), taken
 
 
-def _stars(edges: DataFrame, cut: Scratch) -> DataFrame:
-    """(child, parent): large-star and small-star rounds until every vertex hangs on its group's least vertex."""
+def _stars(edges: DataFrame, cut: Scratch, hot: int | None) -> DataFrame:
+    """(child, parent): large-star and small-star rounds until every vertex hangs on its group's least vertex. Neighbours of a hub don't gather."""
     def mark(e: DataFrame):
         r = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         return r[0], r[1]
@@ -74,26 +77,28 @@ def _stars(edges: DataFrame, cut: Scratch) -> DataFrame:
     now = cut.cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     seen = mark(now)
     while True:
-        both = _both_ways(now)
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+        least = _both_ways(now).groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        # the larger neighbours of a vertex are its rows as a parent
+        up = now.select(F.col("b").alias("u"), F.col("a").alias("v"))
+        large = cut.cut(spread_join(up, least, ["u"], hot=hot).select(F.col("v").alias("a"), F.col("m").alias("b")).distinct())
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.inline(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b"))))).where("a <> b").distinct()
+        small = spread_join(large, least, ["a"], hot=hot).select(F.inline(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b"))))).where("a <> b").distinct()
         before, now = now, cut.cut(small)
-        cut.drop(before)
+        cut.drop(before, large)
         marks = mark(now)
         if marks == seen:
             return now.select(F.col("a").alias("child"), F.col("b").alias("parent"))
         seen = marks
 
 
-def link_groups(pairs: DataFrame, a: str, b: str, least_gain: float = 0.1) -> DataFrame:
+def link_groups(pairs: DataFrame, a: str, b: str, least_gain: float = 0.1, hot: int | None = None) -> DataFrame:
     """(vertex, group): for every vertex of a pair the least vertex linked to it, itself included.
 
     Pairs with a null end or two equal ends are left out; repeated and reversed pairs count once; extra columns
     are ignored; an empty table gives no row. Leaves are stripped and chains compressed in turns for as long as a
     turn takes at least ``least_gain`` of the edges; the rest is solved by star rounds and labels are handed back
-    in reverse order. Links and labels stay distributed throughout.
+    in reverse order. Links and labels stay distributed throughout, and no join brings more than ``hot`` rows of one vertex or
+    group into a task: see ``spread_join``.
     """
     cut = Scratch(pairs.sparkSession, "link")
     x, y = F.col(f"`{a}`"), F.col(f"`{b}`")
@@ -111,12 +116,12 @@ def link_groups(pairs: DataFrame, a: str, b: str, least_gain: float = 0.1) -> Da
         gain, edges, size = 1 - n / size, left, n
         if gain < least_gain:
             break
-    labels = _stars(edges, cut) if size else edges.select(F.col("a").alias("child"), F.col("b").alias("parent")).limit(0)
+    labels = _stars(edges, cut, hot) if size else edges.select(F.col("a").alias("child"), F.col("b").alias("parent")).limit(0)
     labels = labels.select(F.col("child").alias("vertex"), F.col("parent").alias("label"))
     for gone in reversed(removed):
         known = labels.select(F.col("vertex").alias("parent"), "label")
-        labels = cut.cut(labels.unionByName(gone.join(known, "parent", "left").select(F.col("child").alias("vertex"), F.coalesce("label", "parent").alias("label"))))
+        labels = cut.cut(labels.unionByName(spread_join(cut.cut(gone), known, ["parent"], "left", hot).select(F.col("child").alias("vertex"), F.coalesce("label", "parent").alias("label"))))
     everyone = _both_ways(first).select(F.col("u").alias("vertex")).distinct()
     labels = cut.cut(everyone.join(labels, "vertex", "left").select("vertex", F.coalesce("label", "vertex").alias("label")))
     least = labels.groupBy("label").agg(F.min("vertex").alias("group"))
-    return labels.join(least, "label").select("vertex", "group")
+    return spread_join(labels, least, ["label"], hot=hot).select("vertex", "group")

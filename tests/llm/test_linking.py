@@ -7,9 +7,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from crestline.llm.hamming import near_codes, ring, similar_pairs
+from crestline.llm.hamming import near_codes, ring, similar_pairs, similar_classes
 from crestline.llm.linking import link_groups
-from crestline.llm.spectral import _forest, similarity_clusters, with_typical
+from crestline.llm.spectral import _forest, _nearest, similarity_clusters, similarity_subclusters, with_typical
 
 HASH = "ord long, domain string, p long, d long, code string, payload int"
 
@@ -84,7 +84,17 @@ def test_pairs_equal_brute_force(small):
     got = similar_pairs(df).collect()
     want = {(a[0], b[0]) for a, b in itertools.combinations(data, 2) if gate(a, b)}
     assert {tuple(r) for r in got} == want and len(got) == len(want)
-    assert {tuple(r) for r in similar_pairs(df, hot=6).collect()} == want
+    assert {tuple(r) for r in similar_pairs(df, hot=6, chunk=2).collect()} == want
+    links = {}
+    for pair in want:
+        for x in pair:
+            links[x] = links.get(x, 0) + 1
+    first, copies = {}, {}
+    for r in sorted(data):
+        first.setdefault(r[2:4], r[0])
+        copies[r[2:4]] = copies.get(r[2:4], 0) + 1
+    classes = similar_classes(df).collect()
+    assert {(r.ord, r.class_ord, r.copies, r.links) for r in classes} == {(r[0], first[r[2:4]], copies[r[2:4]], links.get(r[0], 0)) for r in data} and len(classes) == len(data)
     assert similar_pairs(df.limit(0)).count() == 0
 
 
@@ -104,11 +114,71 @@ def test_clusters_equal_brute_force(small):
     assert {tuple(r) for r in with_typical(similarity_clusters(df, vectors=1, rounds=1, settle=0)).select("first_ord", "typical_ord", "ord").collect()} == want
 
 
+def bridged(seed=6, n=60):
+    """Two dense clusters, far from each other, with a chain of single links between them, and a third by itself: (rows, cluster of each ord)."""
+    r = random.Random(seed)
+    cores = [r.getrandbits(63) for _ in range(3)]
+    out, truth = [], {}
+    for c, core in enumerate(cores):
+        for _ in range(n):
+            p = core
+            for _ in range(r.randrange(1, 5)):
+                p ^= 1 << r.randrange(63)
+            truth[len(out)] = c
+            out.append((len(out), "d", p, r.getrandbits(60), "x", 1))
+    # steps of eight bits from one core to the next
+    p, apart = cores[0], [b for b in range(63) if (cores[0] ^ cores[1]) >> b & 1]
+    while len(apart) > 8:
+        for b in apart[:8]:
+            p ^= 1 << b
+        apart = apart[8:]
+        out.append((len(out), "d", p, r.getrandbits(60), "x", 1))
+    return out, truth
+
+
+def subclusters(small, data, **how):
+    return {x.ord: x for x in similarity_subclusters(small.createDataFrame(data, HASH), **how).collect()}
+
+
+def test_embedding_tells_bridged_clusters_apart(small):
+    data, truth = bridged()
+    got = subclusters(small, data)
+    assert got[0].group_ord == got[60].group_ord == 0 and got[120].group_ord == 120  # linked through the chain
+    pairs = list(itertools.combinations(truth, 2))
+    same, found = {p for p in pairs if truth[p[0]] == truth[p[1]]}, {p for p in pairs if got[p[0]].first_ord == got[p[1]].first_ord}
+    recall, precision = len(same & found) / len(same), len(same & found) / len(found)
+    assert recall >= 0.9 and precision >= 0.99, (recall, precision)
+    # typical members are near their core: they have the greatest affinity to the others
+    for first in {x.first_ord for o, x in got.items() if o in truth}:
+        own = [x for x in got.values() if x.first_ord == first]
+        assert own[0].size == len(own)
+    # random places, which no round has moved, tell nothing apart
+    loose = subclusters(small, data, rounds=0)
+    found = {p for p in pairs if loose[p[0]].first_ord == loose[p[1]].first_ord}
+    assert len(same & found) / len(found) < 0.9
+
+
+def test_nearest_do_not_depend_on_pieces():
+    g = np.random.default_rng(1)
+    a, b = g.integers(0, 40, 500), g.integers(0, 40, 500)
+    d = (a * 7 + b * 7) % 11  # by the pair
+    keep = a != b
+    a, b, d = a[keep], b[keep], d[keep]
+    edges = lambda k, a, b: {(min(x, y), max(x, y)) for x, y in zip(a[k].tolist(), b[k].tolist())}
+    whole = edges(_nearest(a, b, d, 3), a, b)
+    halves = [_nearest(x, y, z, 3) + s for x, y, z, s in ((a[:200], b[:200], d[:200], 0), (a[200:], b[200:], d[200:], 200))]
+    both = np.concatenate(halves)
+    assert edges(_nearest(a[both], b[both], d[both], 3), a[both], b[both]) == whole
+
+
 def test_clusters_of_nothing(small):
     df = small.createDataFrame([], HASH)
     assert similarity_clusters(df).count() == 0
     lone = small.createDataFrame([(1, "a", 0, 0, "x", 1), (2, "b", -1, 0, "x", 1)], HASH)
     assert similarity_clusters(lone).count() == 0
+    assert similarity_subclusters(lone).count() == 0 and similarity_subclusters(df).count() == 0
+    twins = small.createDataFrame([(1, "a", 0, 0, "x", 1), (2, "b", 0, 9, "x", 1), (3, "c", -1, 0, "x", 1)], HASH)
+    assert {(r.group_ord, r.first_ord, r.ord, r["size"], r.affinity) for r in similarity_subclusters(twins).collect()} == {(1, 1, 1, 2, 1024), (1, 1, 2, 2, 1024)}
 
 
 def test_forest_keeps_links():
@@ -149,6 +219,14 @@ def test_random_graph_of_names(small):
     assert {x.vertex: x.group for x in link_groups(df, "vertex", "label").collect()} == brute_groups(p for p in pairs if p[0] != p[1])
 
 
+def test_hub_giant_group_and_hot_keys(small):
+    """A hub of many leaves beside a core that star rounds solve; no join may bring its rows together."""
+    pairs = [(f"l{k}", "hub") for k in range(1500)] + [(f"c{a}", f"c{b}") for a, b in itertools.combinations(range(12), 2)] + [("c0", "hub")] + [(f"c{k % 12}", f"m{k}") for k in range(600)] + [(f"m{k}", f"m{k + 1}") for k in range(0, 600, 2)]
+    df = small.createDataFrame(pairs, "a string, b string")
+    got = {x.vertex: x.group for x in link_groups(df, "a", "b", hot=100).collect()}
+    assert set(got.values()) == {"c0"} and len(got) == len({x for p in pairs for x in p})
+
+
 def test_link_nothing(small):
     assert link_groups(small.createDataFrame([], "a string, b string"), "a", "b").count() == 0
     assert link_groups(small.createDataFrame([("x", None), ("y", "y")], "a string, b string"), "a", "b").count() == 0

@@ -1,6 +1,8 @@
 import json
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from crestline.llm.notation import canonical_key, host_key, notation_copies, parse_record
@@ -113,3 +115,48 @@ def test_ties_are_told_apart_by_later_bundles(small):
     score = Bundle("score", ["score"], [F.col("score")], F.col("score").isNotNull(), ["domain"])
     got = {r.g: (r.domain, r.path, r.score) for r in consistent_survivors(m, ["g"], "domain", c, [path, score]).collect()}
     assert got == {1: ("b", "y", 3), None: ("a", "x", None)}
+
+
+def test_choice_within_a_source_waits_for_later_bundles(small):
+    """Two files of one source tie; only the address of one has a timing."""
+    m = small.createDataFrame([(1, "s")], "g int, domain string")
+    c = small.createDataFrame([("s", "b", 5, None), ("s", "a", 5, None), ("s", "a", None, 7)], "domain string, url string, trust int, ms int")
+    file = Bundle("file", ["domain", "url"], [F.col("trust")], F.col("trust").isNotNull())
+    timing = Bundle("timing", ["ms"], [F.col("ms")], F.col("ms").isNotNull(), ["domain", "url"])
+    assert [(r.url, r.ms) for r in consistent_survivors(m, ["g"], "domain", c, [file, timing]).collect()] == [("a", 7)]
+
+
+@pytest.mark.parametrize("shared", [False, True])
+def test_three_bundles_equal_brute_force(small, shared):
+    """All combinations of candidates that agree, for groups with ties within a source and determinants that conflict."""
+    for seed in (1, 2, 3):
+        r = random.Random(seed)
+        recs = [(f"d{r.randrange(9)}", r.choice("uv"), r.choice("xyz"), r.randrange(3), r.choice([None, 0, 1, 2]), r.choice([None, 0, 3, 4]), r.randrange(4)) for _ in range(120)]
+        members = [(k % 3, f"d{k}") for k in range(9)]
+        df = small.createDataFrame(recs, "domain string, url string, path string, a int, b int, c int, kind int")
+        m = small.createDataFrame(members, "g int, domain string")
+        one = Bundle("one", ["domain", "url"], [F.col("a")], F.col("kind") != 0, tiers=[0])
+        two = Bundle("two", ["path", "b"], [F.col("b")], F.col("kind") != 1, ["domain", "url"], tiers=[0 if shared else 1])
+        three = Bundle("three", ["c"], [F.col("c")], F.col("kind") != 2, ["path"], tiers=[1 if shared else 2])
+        low = lambda v: -(1 << 55) if v is None else v
+        got = {x.g: x for x in consistent_survivors(m, ["g"], "domain", df, [one, two, three]).collect()}
+        for g in range(3):
+            own = [x for x in recs if (g, x[0]) in members]
+            best = None
+            for x in own:
+                if x[6] == 0:
+                    continue
+                for y in [y for y in own if y[6] != 1 and y[:2] == x[:2]] or [None]:
+                    path = y[2] if y else None
+                    for z in [z for z in own if z[6] != 2 and z[2] == path] or [None]:
+                        parts = [low(x[3]), low(y[4]) if y else -(1 << 56), low(z[5]) if z else -(1 << 56)]
+                        total = (parts[0] + parts[1], parts[2]) if shared else tuple(parts)
+                        best = max(best, total) if best else total
+            x = got[g]
+            # the trust of what came out, by its fields
+            y, z = [low(x.b) if x.path is not None else -(1 << 56), low(x.c)]
+            a = max(q[3] for q in own if q[6] != 0 and q[:2] == (x.domain, x.url))
+            assert not x.path or (x.domain, x.url, x.path, x.b) in {(q[0], q[1], q[2], q[4]) for q in own if q[6] != 1}
+            assert ((a + y, z) if shared else (a, y, z)) == best or x.c is None
+            if x.c is None:
+                assert ((a + y,) if shared else (a, y)) == best[:-1]
