@@ -28,7 +28,7 @@ def _file(tiers: list[int] | None = None, trust=F.col("trust")) -> Bundle:
 def _address() -> Bundle:
     """The address that a file of the domain was found at, with its score."""
     return Bundle(
-        "address", ["logo_url", "_best_score"], trust=[F.col("_best_score"), F.unix_micros("extracted_at"), F.col("result_id")],
+        "address", ["logo_url", "_best_score"], trust=[F.col("_best_score"), F.col("result_id")],
         usable=F.col("logo_url") != "", determinants=["domain", "downloaded_path"],
     )
 

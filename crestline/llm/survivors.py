@@ -10,7 +10,8 @@ The search is a branch-and-bound over all groups at once, one level per bundle:
   the best can be in an optimum; they are found by a combining aggregation per source, so hot sources are no matter;
 * bound: what a choice has so far plus the best that any candidate of the group offers for each bundle still to come. The order
   of vectors is kept by addition, so no completion can be better;
-* incumbent: the most promising choice of every group is completed first, greedily; its trust can be had;
+* incumbent: what a choice comes to even if all bundles to come stay empty can be had; where that leaves several choices of a
+  group open, the most promising one is completed first, greedily;
 * branch: the choices whose bound reaches the incumbent are extended by all candidates that agree, and bounded again.
 """
 
@@ -54,15 +55,17 @@ class _Search:
         self.belongs = cut.cut(members.select(*group, F.col(f"`{source}`").alias("__source")).where(F.col("__source").isNotNull()).distinct())
 
     def vector(self, level: int, parts: list[Column]) -> Column:
-        """What a bundle adds, as a struct of all tiers."""
+        """What a bundle adds, as a struct of its tiers in their order; the others are 0."""
         at = {t: p for t, p in zip(self.tiers[level], parts)}
-        return F.struct(*((F.coalesce(at[k].cast("long"), F.lit(UNKNOWN)) if k in at else F.lit(0).cast("long")).alias(f"t{k}") for k in range(self.width)))
+        return F.struct(*(F.coalesce(at[k].cast("long"), F.lit(UNKNOWN)).alias(f"t{k}") for k in sorted(at)))
 
     def empty(self, level: int) -> Column:
-        return F.struct(*((F.lit(EMPTY) if k in self.tiers[level] else F.lit(0)).cast("long").alias(f"t{k}") for k in range(self.width)))
+        return F.struct(*(F.lit(EMPTY).cast("long").alias(f"t{k}") for k in sorted(self.tiers[level])))
 
-    def plus(self, *vectors: Column) -> Column:
-        return F.struct(*(sum((v[f"t{k}"] for v in vectors[1:]), vectors[0][f"t{k}"]).alias(f"t{k}") for k in range(self.width)))
+    def plus(self, total: Column | None, added: dict[int, Column]) -> Column:
+        """A vector of all tiers and what some levels add."""
+        zero = F.lit(0).cast("long")
+        return F.struct(*(sum((v[f"t{k}"] for level, v in added.items() if k in self.tiers[level]), zero if total is None else total[f"t{k}"]).alias(f"t{k}") for k in range(self.width)))
 
     def offer(self, level: int) -> Column:
         """Trust and fields of a record as this bundle's candidate, or null. Fields after the trust make ties deterministic."""
@@ -87,7 +90,8 @@ class _Search:
     def start(self) -> DataFrame:
         """Choices of the first bundle with what each later bundle could add at most in their group."""
         rest = [f"__rest{k}" for k in range(1, len(self.bundles))]
-        opened = self.belongs.join(self.candidates(0), "__source").select(*self.group, "__source", self.bundles[0].name, F.col(f"{self.bundles[0].name}.trust").alias("__trust"))
+        first = self.bundles[0].name
+        opened = self.belongs.join(self.candidates(0), "__source").select(*self.group, "__source", first, self.plus(None, {0: F.col(f"{first}.trust")}).alias("__trust"))
         if not rest:
             return self.cut.cut(opened)
         # one pass over the records for the bounds of all bundles
@@ -99,7 +103,11 @@ class _Search:
 
     def bound(self, level: int) -> Column:
         """The most that a choice of the bundles up to this level can come to."""
-        return self.plus(F.col("__trust"), *(F.col(f"__rest{k}") for k in range(level + 1, len(self.bundles))))
+        return self.plus(F.col("__trust"), {k: F.col(f"__rest{k}") for k in range(level + 1, len(self.bundles))})
+
+    def at_least(self, level: int) -> Column:
+        """What such a choice comes to if all bundles to come stay empty."""
+        return self.plus(F.col("__trust"), {k: self.empty(k) for k in range(level + 1, len(self.bundles))})
 
     def extended(self, choices: DataFrame, level: int) -> DataFrame:
         """Choices with every candidate of the bundle that agrees, or without one."""
@@ -118,7 +126,7 @@ class _Search:
             first = next(x for x in self.bundles if d in x.fields)
             on = on & F.col(f"{first.name}.fields.{d}").eqNullSafe(F.col(f"__d_{d}"))
         rows = choices.join(found, on, "left")
-        trust = self.plus(F.col("__trust"), F.coalesce(F.col(f"{b.name}.trust"), self.empty(level)))
+        trust = self.plus(F.col("__trust"), {level: F.coalesce(F.col(f"{b.name}.trust"), self.empty(level))})
         return rows.select(*(c for c in choices.columns if c != "__trust"), b.name, trust.alias("__trust"))
 
     def best(self, choices: DataFrame, level: int) -> DataFrame:
@@ -142,12 +150,15 @@ def consistent_survivors(members: DataFrame, group: list[str], source: str, reco
     search = _Search(members, group, source, records, bundles, cut)
     opened, last = search.start(), len(bundles) - 1
     if last:
-        dive = search.best(opened, 0)
-        for level in range(1, len(bundles)):
-            dive = search.best(search.extended(cut.cut(dive), level), level)
-        incumbent = cut.cut(dive.select(*group, F.col("__trust").alias("__had")))
-        # the bound is kept with the choice, so that each level only looks at its own rows
-        opened = cut.cut(spread_join(opened, incumbent, group).where(search.bound(0) >= F.col("__had")))
+        # what can be had is kept with the choice, so that each level only looks at its own rows
+        had = cut.cut(opened.groupBy(*group).agg(F.max(search.at_least(0)).alias("__had")))
+        opened = cut.cut(spread_join(opened, had, group).where(search.bound(0) >= F.col("__had")))
+        if opened.count() > had.count():
+            dive = search.best(opened.drop("__had"), 0)
+            for level in range(1, len(bundles)):
+                dive = search.best(search.extended(cut.cut(dive), level), level)
+            had = cut.cut(dive.select(*group, F.col("__trust").alias("__had")))
+            opened = cut.cut(spread_join(opened.drop("__had"), had, group).where(search.bound(0) >= F.col("__had")))
         for level in range(1, len(bundles)):
             opened = cut.cut(search.extended(opened, level).where(search.bound(level) >= F.col("__had")))
     best = search.best(opened, last)
