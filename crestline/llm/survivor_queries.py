@@ -17,10 +17,10 @@ def _inputs(spark, folder):
     return members, records
 
 
-def _file(tiers: list[int] | None = None, trust=F.col("trust")) -> Bundle:
+def _file(tiers: list[int] | None = None, unknown: int | None = None) -> Bundle:
     return Bundle(
         "file", ["result_id", "domain", "source_strategy", "downloaded_path", "extracted_at", "logo_url"],
-        trust=[trust, F.unix_micros("extracted_at"), F.col("result_id")], tiers=tiers,
+        trust=[F.coalesce("trust", F.lit(unknown)), F.unix_micros("extracted_at"), F.col("result_id")], tiers=tiers,
         usable=(F.col("downloaded_path") != "") & (F.coalesce(F.col("error"), F.lit("")) == ""),
     )
 
@@ -60,7 +60,7 @@ ANSWERED = 5  # steps of trust that an answered request is worth
 def p2_bundles(spark, folder):
     """File and timing traded off: a less trusted file wins if its address was answered."""
     members, records = _inputs(spark, folder)
-    bundles = [_file([0, 1, 2], F.coalesce("trust", F.lit(0))), _timing([0, 3, 4], ANSWERED)]
+    bundles = [_file([0, 1, 2], 0), _timing([0, 3, 4], ANSWERED)]
     return consistent_survivors(members, ["run_id", "group_id"], "domain", records, bundles).select("run_id", "group_id", "result_id", "domain", "http_status", "extraction_time_ms")
 
 
