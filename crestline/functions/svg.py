@@ -165,7 +165,8 @@ def render_ready(svg: Column) -> Column:
 
 
 def svg_data_uri(svg: Column) -> Column:
-    return F.concat(F.lit("data:image/svg+xml;base64,"), F.base64(F.encode(svg, "utf-8")))
+    # Spark breaks base64 into lines
+    return F.concat(F.lit("data:image/svg+xml;base64,"), F.regexp_replace(F.base64(F.encode(svg, "utf-8")), r"\s", ""))
 
 
 def data_uri_bytes(uri: Column) -> Column:

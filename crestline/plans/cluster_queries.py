@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from crestline.operators.clustering import cluster_domains, domain_files, exact_groups, group_members, group_rows, preview, ranked_groups, representatives, size_histogram, summary
-from crestline.operators.components import label_nodes, star_edges
+from crestline.operators.clustering import CLUSTERS, cluster_document, cluster_domains, domain_files, exact_groups, group_members, group_rows, preview, ranked_groups, representatives, size_histogram, summary, union_counts
+from crestline.operators.components import connected, label_nodes, star_edges
 from crestline.operators.linkage import minimum_forest, single_linkage
 from crestline.operators.similarity import ahash_bits, dhash_bits, gate_pairs, hash_classes, phash_bits, similar_groups
 from crestline.plans.scratch import Scratch
 from crestline.plans.session import table
+from crestline.sources.sinks import write_cluster_document, write_cluster_files
 
 EMBEDDING_GATE = (18, 20, 20)  # for blocks that are no images, whose distances are larger
 GROUPS = 100
@@ -137,6 +138,41 @@ def cluster_report(spark, folder):
     return group_rows(labels, files).withColumn("one", F.lit(1)).join(F.broadcast(totals.join(failed, "one")), "one").drop("one")
 
 
+def connected_pairs(spark, folder):
+    """C4: whether the two domains of every stored match share an address, directly or through others."""
+    pairs = table(spark, folder, "match_pairs").select("pair_id", F.col("domain_a").alias("a"), F.col("domain_b").alias("b"))
+    return connected(url_components(spark, folder).withColumnRenamed("domain", "node"), pairs).select("pair_id", "connected")
+
+
+def phase_merges(spark, folder):
+    """Groups that each phase merges into others: by address, then by similar hashes."""
+    cut = Scratch(spark, "phases")
+    files = cut.cut(_files(spark, folder))
+    alone = files.select("domain", F.col("domain").alias("component"))
+    steps = union_counts([alone, cut.cut(exact_groups(files)), cut.cut(cluster_domains(files, _hashes(spark, folder)))])
+    return spark.createDataFrame(list(zip(("address", "hash"), steps)), "phase string, merges long")
+
+
+def document_written(spark, folder):
+    """K4: the document of a run, written as JSON and read again."""
+    cut = Scratch(spark, "document")
+    files = cut.cut(_files(spark, folder))
+    failed = table(spark, folder, "domains").select("domain").where("domain is not null").distinct().join(files, "domain", "left_anti")
+    write_cluster_document(cluster_document(cut.cut(exact_groups(files)), files, failed), f"{cut.root}/json")
+    doc = spark.read.schema(CLUSTERS).json(f"{cut.root}/json")
+    return doc.select("total_domains", "total_groups", "multi_groups", "singletons", F.size("failed_domains").alias("failed"), "parameters.t1_phash", "parameters.k_clusters", F.size("groups").alias("held"), F.aggregate("groups", F.lit(0), lambda n, g: n + F.size(g["domains"])).alias("members"))
+
+
+def folders_written(spark, folder):
+    """K5: files by the number of their group, written and read again."""
+    cut = Scratch(spark, "folders")
+    files = cut.cut(_files(spark, folder))
+    rows = cut.cut(group_rows(cut.cut(exact_groups(files)), files))
+    named = rows.join(files.select("domain", "path"), "domain").select("group_id", "path")
+    write_cluster_files(named, f"{cut.root}/groups")
+    return spark.read.parquet(f"{cut.root}/groups").groupBy("group_id").agg(F.count(F.lit(1)).alias("files"), F.min("name").alias("first_name"))
+
+
 def stored_groups(spark, folder):
     """Groups of stored runs as rows, each run once."""
     runs = table(spark, folder, "clustering_results").select("run_id", F.col("parameters.t1_phash").alias("t1"), F.inline("groups"))
@@ -145,7 +181,7 @@ def stored_groups(spark, folder):
 
 QUERIES = {f.__name__: f for f in (
     last_files, url_star_edges, text_digest_groups, url_components, url_groups_ranked, url_group_members, url_group_sizes, url_group_summary, url_group_preview, url_representatives,
-    embedding_bits, embedding_pairs, embedding_components, hash_components, embedding_classes, single_linkage_groups, single_linkage_cut, single_linkage_merges, cluster_pipeline, cluster_pipeline_k, cluster_report, stored_groups)}
+    embedding_bits, embedding_pairs, embedding_components, hash_components, embedding_classes, single_linkage_groups, single_linkage_cut, single_linkage_merges, cluster_pipeline, cluster_pipeline_k, cluster_report, connected_pairs, phase_merges, document_written, folders_written, stored_groups)}
 
 _F = """o AS (SELECT DISTINCT * EXCLUDE (loaded_at) FROM extraction_results WHERE domain IS NOT NULL AND downloaded_path <> '' AND coalesce(error, '') = ''),
   f AS (SELECT domain, arg_max({'u': logo_url}, result_id).u AS logo_url, arg_max(downloaded_path, result_id) AS path, min(result_id) AS ord FROM o GROUP BY domain),
@@ -209,6 +245,14 @@ SQL = {
         SELECT (SELECT count(*) FROM fin)::INT AS total_domains, (SELECT count(*) FROM u)::INT AS total_groups, (SELECT count(*) FROM u WHERE size > 1)::INT AS multi_groups, (SELECT count(*) FROM u WHERE size = 1)::INT AS singletons,
         (SELECT count(DISTINCT domain) FROM extraction_results WHERE domain IS NOT NULL AND domain NOT IN (SELECT domain FROM f))::INT AS failed,
         n.group_id, n.size::INT AS count, n.representative_logo, row_number() OVER (PARTITION BY fin.component ORDER BY fin.domain)::INT AS place, fin.domain FROM fin JOIN n USING (component)""",
+    "connected_pairs": f"""WITH {_G} SELECT pair_id, coalesce(coalesce(x.component, m.domain_a) = coalesce(y.component, m.domain_b), false) AS connected
+        FROM match_pairs m LEFT JOIN g x ON x.domain = m.domain_a LEFT JOIN g y ON y.domain = m.domain_b""",
+    "phase_merges": f"""WITH RECURSIVE {_PIPE} SELECT 'address' AS phase, (SELECT count(*) FROM f) - (SELECT count(DISTINCT component) FROM g) AS merges
+        UNION ALL SELECT 'hash', (SELECT count(DISTINCT component) FROM g) - (SELECT count(DISTINCT component) FROM fin)""",
+    "document_written": f"""WITH {_G} SELECT sum(size)::INT AS total_domains, count(*)::INT AS total_groups, (count(*) FILTER (size > 1))::INT AS multi_groups, (count(*) FILTER (size = 1))::INT AS singletons,
+        (SELECT count(DISTINCT domain) FROM domains WHERE domain NOT IN (SELECT domain FROM f))::INT AS failed, 10 AS t1_phash, NULL::INT AS k_clusters, count(*)::INT AS held, sum(size)::INT AS members FROM t""",
+    "folders_written": f"""WITH {_G}, n AS (SELECT component, row_number() OVER (ORDER BY size DESC, first_domain)::INT AS group_id FROM t)
+        SELECT group_id, count(*) AS files, min(group_id || '_' || regexp_extract(path, '([^/]*)$', 1)) AS first_name FROM n JOIN g USING (component) JOIN f USING (domain) GROUP BY group_id""",
     "stored_groups": """SELECT DISTINCT run_id, t1, g.group_id AS group_id, g.count AS count, array_to_string(g.domains, ',') AS domains, g.representative_logo AS representative_logo
         FROM (SELECT run_id, parameters.t1_phash AS t1, unnest(groups) AS g FROM clustering_results)""",
 }
