@@ -279,7 +279,7 @@ def fit_filters(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_
 
 
 def language_stretches(docs: DataFrame, id_col: str, text_col: str, filters: Filters) -> DataFrame:
-    """(id, seg_no, lang, confidence, first_char, end_char): every stretch of every document, numbered from 1 in text order.
+    """(id, seg_no, stretches, lang, confidence, first_char, end_char): every stretch of every document, numbered from 1 in text order, with their number.
 
     Null, empty and blank texts have no stretch; a text without letters of a known language has one with lang null and
     confidence 0; ties go to the first language by code. Extra columns are ignored.
@@ -298,11 +298,11 @@ def language_stretches(docs: DataFrame, id_col: str, text_col: str, filters: Fil
                 while b < len(texts) and (b == a or size + len(texts[b]) <= 1_000_000):
                     size += len(texts[b])
                     b += 1
-                rows = [(i, k + 1, *r) for i, stretches in zip(ids[a:b], classify(texts[a:b], own)) for k, r in enumerate(stretches)]
-                cols = list(zip(*rows)) if rows else [[]] * 6
-                types = (batch.schema.field(0).type, pa.int32(), pa.string(), pa.float64(), pa.int32(), pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["id", "seg_no", "lang", "confidence", "first_char", "end_char"])
+                rows = [(i, k + 1, len(stretches), *r) for i, stretches in zip(ids[a:b], classify(texts[a:b], own)) for k, r in enumerate(stretches)]
+                cols = list(zip(*rows)) if rows else [[]] * 7
+                types = (batch.schema.field(0).type, pa.int32(), pa.int32(), pa.string(), pa.float64(), pa.int32(), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=["id", "seg_no", "stretches", "lang", "confidence", "first_char", "end_char"])
                 a = b
 
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).where(F.col("id").isNotNull() & (F.length(F.trim("text")) > 0))
-    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, seg_no int, lang string, confidence double, first_char int, end_char int")
+    return rows.mapInArrow(run, f"id {dict(rows.dtypes)['id']}, seg_no int, stretches int, lang string, confidence double, first_char int, end_char int")

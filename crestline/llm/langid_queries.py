@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from crestline.llm.langid import fit_filters, label_language, language_stretches
@@ -21,8 +20,7 @@ def p9_found(spark, folder):
     # the label travels with the identifier: no join back
     both = docs.select(F.struct("doc_id", label_language(F.col("lang")).alias("label")).alias("id"), "text")
     got = language_stretches(both, "id", "text", fit_filters(docs, "doc_id", "text", "lang"))
-    page = W.partitionBy("doc_id")
-    rows = got.select("id.doc_id", "id.label", "seg_no", "lang").withColumn("stretches", F.max("seg_no").over(page))
+    rows = got.select("id.doc_id", "id.label", "seg_no", "stretches", "lang")
     return rows.where((F.col("stretches") > 1) | (F.col("lang").isNotNull() & ~F.col("lang").eqNullSafe(F.col("label")))).select("doc_id", "seg_no", "lang")
 
 

@@ -108,18 +108,22 @@ def _keys(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([canonical_key(t) for t in batch.column(1).to_pylist()], pa.binary())], names=["id", "key"])
 
 
+MOST_ROWS, MOST_HOT = 1_000_000, 10_000  # rows of a key that one task may hold; hot keys that are broadcast at most
+
+
 def notation_copies(records: DataFrame, id_col: str, text_col: str, hot_share: float = 0.001) -> DataFrame:
     """(id, first_id, copies): for every record the smallest id of its group and the size of the group.
 
     Rows with a null id or text are left out. Partial counts find the keys that hold more than ``hot_share`` of all
-    rows (at most 1 / hot_share keys, so they may be broadcast); those are salted into a two-level aggregation, the
-    rest needs one shuffle. Extra columns are ignored; an empty table gives no row.
+    rows or more than MOST_ROWS (at most 1 / hot_share or MOST_HOT keys, so they may be broadcast); those are salted into a
+    two-level aggregation, the rest needs one shuffle. Extra columns are ignored; an empty table gives no row.
     """
     cut = Scratch(records.sparkSession, "notation")
     texts = records.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).dropna()
     rows = cut.cut(texts.mapInArrow(_keys, f"id {dict(texts.dtypes)['id']}, key binary"))
     total = rows.count()
-    hot = cut.cut(rows.groupBy("key").agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > hot_share * total).select("key"))
+    least = min(hot_share * total, max(MOST_ROWS, total / MOST_HOT))
+    hot = cut.cut(rows.groupBy("key").agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > least).select("key"))
     warm = rows.join(F.broadcast(hot), "key")
     salted = warm.groupBy("key", F.pmod(F.xxhash64("id"), F.lit(64)).alias("salt")).agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
     best = salted.groupBy("key").agg(F.min("first_id").alias("first_id"), F.sum("copies").alias("copies"))

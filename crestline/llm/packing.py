@@ -24,19 +24,32 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 # fixed value: the pattern published with byte-level BPE vocabularies of this kind
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 DIMS, DEPTH, FEATURES = 4, 8, 256
-BLOCK = 1024  # documents of the curve that are packed together
+BLOCK = 48  # documents of the curve that are packed together
 RANGE_TOKENS = 8_000_000
+MOST_VOCABULARY = 64_000_000  # bytes of a vocabulary file, which is broadcast
+
+
+def vocabulary(path: str) -> bytes:
+    """The vocabulary file, read where the plan is made; it goes to the tasks, whose machines need not have it."""
+    with open(path, "rb") as f:
+        raw = f.read(MOST_VOCABULARY + 1)
+    if len(raw) > MOST_VOCABULARY:
+        raise ValueError(f"{path} is no vocabulary: more than {MOST_VOCABULARY} bytes")
+    return raw
 
 
 @lru_cache(maxsize=2)
-def tokenizer(path: str):
+def _encoding(raw: bytes):
     import tiktoken
 
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.splitlines())}
     return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def tokenizer(path: str):
+    return _encoding(vocabulary(path))
+
+
 def hilbert_keys(points: np.ndarray, depth: int) -> np.ndarray:
     """Index on the Hilbert curve of integer points (rows) with ``depth`` bits a coordinate: inverse Gray code of the rotated bits."""
     x = points.astype("int64").T.copy()
@@ -122,9 +135,10 @@ def pack_documents(docs: DataFrame, id_col: str, text_col: str, capacity: int =
     texts are placed row by row. ``sequence`` is unique, not dense. Extra columns are ignored; an empty table gives no row.
     """
     cut = Scratch(docs.sparkSession, "packing")
+    words = docs.sparkSession.sparkContext.broadcast(vocabulary(path))
 
     def measure(batches):
-        enc = tokenizer(path)
+        enc = _encoding(words.value)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
             size = [len(enc.encode_ordinary(t)) for t in texts]

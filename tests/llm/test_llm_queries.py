@@ -81,7 +81,13 @@ def languages(spark, df):
     assert rows and rows <= {(r.doc_id, r.seg_no, r.lang) for r in QUERIES["p9_stretches"](spark, FOLDER).collect()}
 
 
-KNOWN = {"p3_subclusters": subclusters, "p6_found": copies, "p6_records": records, "p7_sequences": sequences, "p7_fill": fill, "p8_found": leaks, "p8_spans": spans, "p9_stretches": stretches, "p9_found": languages}
+def likeness(spark, df):
+    """Neighbours on the curve are of one language more often than by chance, on few pages as well."""
+    row = df.first()
+    assert row.pairs > 0 and row.share > 1.3 * row.by_chance
+
+
+KNOWN = {"p7_likeness": likeness, "p3_subclusters": subclusters, "p6_found": copies, "p6_records": records, "p7_sequences": sequences, "p7_fill": fill, "p8_found": leaks, "p8_spans": spans, "p9_stretches": stretches, "p9_found": languages}
 
 
 @pytest.mark.skipif(not pathlib.Path(FOLDER).exists(), reason="no test tables here")
