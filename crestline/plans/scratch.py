@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: dict[str, str] = {}
+_ROOTS: dict[str, list[str]] = {}  # folders written so far, by application
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,6 +27,20 @@ def shared_folder(spark: SparkSession) -> str:
     return "file://" + _LOCAL[app]
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Deletes all tables that queries of this session have written so far and tells how many folders there were. Only once their
+    results have been written or read: a result that is not may still need them."""
+    roots = _ROOTS.pop(spark.sparkContext.applicationId, [])
+    for root in roots:
+        _delete(spark, root)
+    return len(roots)
+
+
 class Scratch:
     """Tables written once and read again: a lost executor costs a re-read, not a recomputation.
 
@@ -36,6 +51,7 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/crestline/{name}-{uuid.uuid4().hex}"
         self.written: list[str] = []
+        _ROOTS.setdefault(spark.sparkContext.applicationId, []).append(self.root)
 
     def cut(self, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{len(self.written)}"
@@ -49,6 +65,4 @@ class Scratch:
         for df in dfs:
             for f in {x.rpartition("/")[0] for x in df.inputFiles()}:
                 if f.startswith(self.root) or f.replace("file:///", "file:/").startswith(self.root.replace("file:///", "file:/")):
-                    jvm = self.spark.sparkContext._jvm
-                    path = jvm.org.apache.hadoop.fs.Path(f)
-                    path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+                    _delete(self.spark, f)

@@ -81,3 +81,25 @@ def test_data_uris(spark):
     assert bytes(one(spark, data_uri_bytes(F.col("u")), u=plain)).decode() == svg
     df = spark.createDataFrame([("data:image/svg+xml;base64,AAAA", False), ("data:image/svg+xml", False), (None, False), ("data:image/svg+xml;base64,%%%", False)], "u string, e boolean")
     assert all(r.x == r.e for r in df.select("e", data_uri_valid(F.col("u")).alias("x")).collect())
+
+
+def test_merged_like_the_standard_library(spark):
+    """References of all kinds against bases of all kinds."""
+    import random
+    from urllib.parse import urljoin
+
+    r = random.Random(3)
+    bases = ["https://a.example/", "https://a.example", "https://a.example/x/y/z.html?q=1#f", "http://b.test/d/", "http://b.test/d;p/e;q?x", "", "https://a.example//x//y", "https://a.example/x/../y/./z", "mailto:a@b", "https://[::1]/x"]
+    steps = ["", "a", "b.png", "..", ".", "c d", "x;y", "é", "...", "%2e"]
+    refs = ["", "?q", "#f", "?", "#", ";p", "/", "//h/x", "mailto:x", "javascript:void(0)", "https:foo", "HTTPS://X.test/p", "a:b", "../..", "./", "../", "/../a", "/./a//b", "..;p", "x;y/z;w?q#f"]
+    refs += [("/" if r.random() < 0.3 else "") + "/".join([r.choice(steps[1:]), *(r.choice(steps) for _ in range(r.randrange(5)))]) + r.choice(["", "?k=/../v", "#x/y", "?"]) for _ in range(150)]
+    df = spark.createDataFrame([(u, b) for b in bases for u in refs], "u string, b string")
+    got = {(x.u, x.b): x.m for x in df.select("u", "b", U.merge_url(F.col("u"), F.col("b")).alias("m")).collect()}
+    assert {k: v for k, v in got.items()} == {(u, b): urljoin(b, u) for u, b in got}
+    assert one(spark, U.merge_url(F.col("u"), F.lit("https://a.example/")), u=None) is None
+
+
+def test_long_text_without_attributes(spark):
+    """Read once, not once from every character."""
+    assert one(spark, too_small(F.repeat(F.lit("x"), 500_000))) is False
+    assert len(one(spark, sanitize_svg(F.concat(F.lit("<svg "), F.repeat(F.lit("a="), 200_000))))) > 400_000

@@ -293,3 +293,15 @@ def test_image_parts():
     assert crop_to_content(np.full((30, 30, 3), 7, "uint8")).shape == (30, 30, 3)
     assert (resize(np.full((9, 7, 3), 33, "uint8"), 16, 16) == 33).all() and is_low_contrast(wide[:50])
     assert hash_image(b"x", 10, 10, 3) == (None, None, None) and hash_image(x.tobytes(), 64, 64, 3)[0] is not None
+
+
+def test_scratch_is_cleared(spark, tmp_path):
+    from crestline.plans.scratch import Scratch, clear_scratch
+
+    clear_scratch(spark)
+    cut = Scratch(spark, "test")
+    assert cut.cut(spark.range(5)).count() == 5
+    root = cut.root.replace("file://", "")
+    import os
+
+    assert os.path.exists(root) and clear_scratch(spark) == 1 and not os.path.exists(root) and clear_scratch(spark) == 0
