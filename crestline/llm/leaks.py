@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from crestline.llm.fmindex import FMIndex
 
 PHRASE = 3  # words of a phrase that is searched
-RARE_ITEMS = 5  # a word is distinctive if no more items have it, or if it holds a digit
+RARE_ITEMS, RARE_SHARE = 5, 0.02  # a word is distinctive if no more items, or no greater share of them, have it, or if it holds a digit
 ALIKE_PHRASE = 5  # words of the phrases that tell passages that are nearly equal; these count as one item
 LEAST_MARKED = 1  # distinctive words that any half of a passage has at least, whatever the number of items that have them
 SHARD_CHARS = 3_000_000
@@ -162,9 +162,10 @@ class Passages:
             raise ValueError("too many different words for one 16-bit alphabet")
         self.number = np.searchsorted(self.vocabulary, w.hash)
         items = np.zeros(len(self.vocabulary), "int64")
-        seen = np.unique(self.number.astype("int64") * max(1, len(ids)) + self._alike()[w.doc])
+        alike = self._alike()
+        seen = np.unique(self.number.astype("int64") * max(1, len(ids)) + alike[w.doc])
         np.add.at(items, seen // max(1, len(ids)), 1)
-        rare = (items[self.number] <= RARE_ITEMS) | w.has_digit
+        rare = (items[self.number] <= max(RARE_ITEMS, RARE_SHARE * len(np.unique(alike)))) | w.has_digit
         for a, b in zip(self.edge[:-1], self.edge[1:]):
             # where other items repeat a passage or it has few such words, the rarest it has are distinctive
             for many in np.unique(items[self.number[a:b]]):
