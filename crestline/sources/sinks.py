@@ -29,6 +29,8 @@ def write_cluster_document(document: DataFrame, folder: str) -> None:
 
 
 def write_cluster_files(groups: DataFrame, folder: str) -> None:
-    """K5: (group_id, path, ...) by group; the folder is replaced. Rows of a large group may come from many tasks."""
+    """K5: (group_id, path, ...) in the order of groups; the folder is replaced. Names tell the group, as in the original's one
+    folder: most groups have one file, so a folder for each would cost more than its rows. Rows of a large group may come from many tasks."""
     named = groups.withColumn("name", F.concat_ws("_", F.col("group_id").cast("string"), F.substring_index("path", "/", -1)))
-    named.write.mode("overwrite").partitionBy("group_id").parquet(folder)
+    # ranges, so a reader of some groups skips the files and row groups of the others
+    named.repartitionByRange("group_id", "name").sortWithinPartitions("group_id", "name").write.mode("overwrite").parquet(folder)

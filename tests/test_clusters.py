@@ -221,6 +221,23 @@ def test_reports(small, tmp_path):
     assert small.read.parquet(str(tmp_path / "files")).where("group_id = 2").count() == 2
 
 
+def test_files_of_groups_share_a_folder(small, tmp_path):
+    folder = tmp_path / "files"
+    write_cluster_files(small.createDataFrame([(9, "old.png")], "group_id int, path string"), str(folder))
+    # a group of 100 files, 300 of one file
+    rows = [(max(1, i - 98), f"logos/n{i:03d}.png") for i in range(400)]
+    write_cluster_files(small.createDataFrame(rows, "group_id int, path string").repartition(8), str(folder))
+    assert not [p for p in folder.iterdir() if p.is_dir()] and len(list(folder.glob("*.parquet"))) <= 2
+    held = small.read.parquet(str(folder))
+    assert sorted((r.group_id, r.path, r.name) for r in held.collect()) == sorted((g, p, f"{g}_{p[6:]}") for g, p in rows)
+    assert dict(held.dtypes)["group_id"] == "int" and held.where("group_id = 1").count() == 100
+    # no group but one on a border is in two files
+    spans = sorted((r.lo, r.hi) for r in held.groupBy(F.input_file_name()).agg(F.min("group_id").alias("lo"), F.max("group_id").alias("hi")).collect())
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    write_cluster_files(small.createDataFrame([], "group_id int, path string"), str(folder))
+    assert small.read.parquet(str(folder)).count() == 0
+
+
 def test_empty_tables(small):
     none = small.createDataFrame([], "domain string, logo_url string, path string, ord long")
     hashes = small.createDataFrame([], "domain string, p long, d long")
